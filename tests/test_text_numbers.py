@@ -1,0 +1,79 @@
+"""Text, amount and flag cleaning against plain Python."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tidemark.functions import as_text, clean_text, parse_amount, parse_flag, strip
+
+
+def one(spark, schema, values, expression):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {schema}")
+    return [r[0] for r in df.orderBy("i").select(expression(F.col("v"))).collect()]
+
+
+def random_strings(n, alphabet, seed):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(n)]
+
+
+def test_strip_equals_python(spark):
+    values = random_strings(800, " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u3000\u200bab", 1)
+    assert one(spark, "string", values, strip) == [v.strip() for v in values]
+
+
+def test_clean_text_cases(spark):
+    cases = {
+        "  plain ": "plain", "": None, "   ": None, "None": None, " NULL ": None, "undefined": None,
+        "nullify": "nullify", "b'abc'": "abc", 'b"abc"': "abc", "b'null'": None, "b'  '": None,
+        "b'x": "b'x", "b'caf\u00e9'": "caf", "\\xff\u00e9z": "\\xffz", "caf\u00e9": "caf\u00e9", "b": "b",
+    }
+    assert one(spark, "string", list(cases), clean_text) == list(cases.values())
+
+
+def test_bytes_drop_invalid_utf8(spark):
+    rnd = random.Random(3)
+    pool = [b"a", b" ", b"\xc3\xa9", b"\xc3", b"\xff", b"\xe2\x82\xac", b"\xe2\x82", b"\xf0\x9f\x98\x80", b"\x80"]
+    values = [b"".join(rnd.choice(pool) for _ in range(rnd.randint(0, 8))) for _ in range(500)]
+    got = one(spark, "binary", values, lambda c: as_text(c, T.BinaryType()))
+    assert got == [v.decode("utf-8", errors="ignore") for v in values]
+
+
+def test_numbers_as_text(spark):
+    doubles = [0.0, -0.0, 5.0, 1863.84, 1e7, 123456789.5, 1.5e15, 1e16, 1e-4, 0.00012345, 1e-5, 3e22, -2.5e-7,
+               float("inf"), float("-inf"), float("nan"), 9999999.0, 0.001]
+    assert one(spark, "double", doubles, lambda c: as_text(c, T.DoubleType())) == [str(d) for d in doubles]
+    assert one(spark, "bigint", [7, -1], lambda c: clean_text(c, T.LongType())) == ["7", "-1"]
+    assert one(spark, "boolean", [True, False, None], lambda c: as_text(c, T.BooleanType())) == ["True", "False", None]
+
+
+def test_amounts_equal_python(spark):
+    values = random_strings(3000, "0123456789.,+-$eRs x\u0663", 2) + [
+        "1500.50", "1,234.50", "Rs. 100", "$-5", "12.", "1e5", ".5", "-.5", "abc", "null", "9" * 400]
+
+    def want(v):
+        v = v.strip()
+        if v.lower() in ("", "null", "none", "undefined"):
+            return None
+        hit = re.search(r"[-+]?\d*\.?\d+", v)
+        return float(hit.group(0)) if hit else None
+
+    assert one(spark, "string", values, parse_amount) == [want(v) for v in values]
+    assert one(spark, "string", ["1,234.50"], lambda c: parse_amount(c, thousands=",")) == [1234.5]
+    typed = one(spark, "double", [1.5, 2e20, float("nan"), float("inf"), None], lambda c: parse_amount(c, T.DoubleType()))
+    assert typed == [1.5, 2e20, None, None, None]
+
+
+@pytest.mark.parametrize("schema,dtype,values,want", [
+    ("string", T.StringType(), ["1", "0", "Yes", "True", "no", "-1", "", None, "0.5", "on", " y ", "007", "-0", "2x",
+                                "99999999999999999999", "N", "\u0660", "\u0661"],
+     [1, 0, 1, 1, 0, 1, 0, 0, 0, 0, 1, 1, 0, 1, 1, 0, 0, 1]),
+    ("boolean", T.BooleanType(), [True, False, None], [1, 0, 0]),
+    ("int", T.IntegerType(), [-1, 0, 5, None], [1, 0, 1, 0]),
+    ("double", T.DoubleType(), [0.5, 1.5, -1.0, None], [0, 1, 1, 0]),
+    ("binary", T.BinaryType(), [b"\x01", b"\x00", b"1", b"yes", b"\x1f", b"\xff"], [1, 0, 1, 0, 1, 0]),
+])
+def test_flags(spark, schema, dtype, values, want):
+    assert one(spark, schema, values, lambda c: parse_flag(c, dtype)) == want
