@@ -5,9 +5,9 @@ import re
 import struct
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from tidemark.functions import with_binary_timestamp, with_date, with_timestamp
+from tidemark.functions import decode_binary_timestamp, parse_date, parse_timestamp
 
 CLOCKED = ["%d/%m/%y", "%d/%m/%Y", "%Y-%m-%d", "%d-%m-%y", "%d-%m-%Y", "%m/%d/%y", "%m/%d/%Y"]
 DATED = [d + s + m + s + y for s in "/-." for d, m in (("%d", "%m"), ("%m", "%d"))
@@ -60,8 +60,8 @@ def test_dates_equal_strptime_rules(spark):
     texts = random_texts(12000) + ["", "   ", "none", "08/05/22 00:00:00", "2023-12-31", "31/02/2024",
                                    "٠٨/٠٥/٢٢", "29/02/1900", "29/02/2000", "01/01/69", "01/01/68"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    df = with_timestamp(with_date(df, "t", "d"), "t", "ts")
-    rows = df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).collect()
+    rows = df.select("t", parse_date(F.col("t")).alias("d"),
+                     F.date_format(parse_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("ts")).collect()
     parsed = 0
     for r in rows:
         day, ts = expected_date(r.t), expected_timestamp(r.t)
@@ -73,7 +73,9 @@ def test_dates_equal_strptime_rules(spark):
 
 def test_typed_dates_pass_through(spark):
     df = spark.sql("select timestamp'2024-05-06 07:08:09' t, date'2024-05-06' d")
-    row = with_timestamp(with_date(with_timestamp(df, "t", "a"), "t", "b"), "d", "c").first()
+    row = df.select(parse_timestamp(F.col("t"), T.TimestampType()).alias("a"),
+                    parse_date(F.col("t"), T.TimestampType()).alias("b"),
+                    parse_timestamp(F.col("d"), T.DateType()).alias("c")).first()
     assert row.a.replace(tzinfo=timezone.utc).isoformat().startswith("2024-05-06T07:08:09")
     assert str(row.b) == "2024-05-06" and str(row.c) == "2024-05-06 00:00:00"
 
@@ -93,9 +95,9 @@ def test_binary_timestamps(spark):
         cases.append((i, raw, repr(raw), "  " + repr(raw) + " ", "\\x" + raw.hex(), "\\x" + raw.hex(" "),
                       f"{y:04d}-{m:02d}-{d:02d} {h:02d}:{mi:02d}:{s:02d}" if ok else None))
     df = spark.createDataFrame(cases, "i int, b binary, lit string, lit2 string, hx string, hx2 string, want string")
-    for c in ("b", "lit", "lit2", "hx", "hx2"):
-        df = with_binary_timestamp(df, c, c)
-    got = df.collect()
+    text = T.StringType()
+    got = df.select("i", "want", decode_binary_timestamp(F.col("b")).alias("b"),
+                    *[decode_binary_timestamp(F.col(c), text).alias(c) for c in ("lit", "lit2", "hx", "hx2")]).collect()
     for r in got:
         assert [r.b, r.lit, r.lit2, r.hx, r.hx2] == [r.want] * 5, (r.i, r)
     assert sum(r.want is not None for r in got) > 100
@@ -104,4 +106,4 @@ def test_binary_timestamps(spark):
 def test_other_texts_are_not_binary(spark):
     texts = ["2024-01-01", "b'x", "\\xzz", "\\x" + "00" * 15, "b'\\x'", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    assert [r[0] for r in with_binary_timestamp(df, "t", "t").collect()] == [None] * 7
+    assert [r[0] for r in df.select(decode_binary_timestamp(F.col("t"), T.StringType())).collect()] == [None] * 7

@@ -1,14 +1,14 @@
-from tidemark.functions.dates import with_binary_timestamp, with_date, with_timestamp
+from tidemark.functions.dates import decode_binary_timestamp, parse_date, parse_timestamp
 from tidemark.functions.numbers import parse_amount, parse_flag
 from tidemark.functions.text import as_text, clean_text, strip
 
 __all__ = [
     "as_text",
     "clean_text",
-    "with_binary_timestamp",
+    "decode_binary_timestamp",
     "parse_amount",
-    "with_date",
+    "parse_date",
     "parse_flag",
-    "with_timestamp",
+    "parse_timestamp",
     "strip",
 ]

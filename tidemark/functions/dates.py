@@ -1,125 +1,83 @@
-"""Dates and timestamps in mixed text and binary forms.
+"""Dates and timestamps in mixed text and binary forms, as native column expressions.
 
-Each parser adds a column to a DataFrame in several small projections, so that every
-intermediate value is computed once and stays inside generated code.
+The expressions rewrite the text step by step and refer to each step once or twice, so
+they stay small even where the optimizer copies them into a pushed-down filter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, functions as F, types as T
 
 from tidemark.functions.text import WHITESPACE, as_text, strip
 
 # Accepted forms of a date. Day first wins over month first; a dot only
 # separates day-first dates; two-digit years below 69 are 20xx, the rest 19xx.
 DATE_PATTERN = r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}|\d{4}-\d{1,2}-\d{1,2}"
-YEAR_PIVOT = 69
-BINARY_YEARS = (1900, 2100)
+CENTURIES = {"20": r"[0-5]\d|6[0-8]", "19": r"69|[7-9]\d"}
+BINARY_DATE = r"^(?:(?:19|20)\d\d|2100)-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]) .*$"
 
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 _BLANK = "[" + WHITESPACE + "]"
 _NOT_BLANK = "[^" + WHITESPACE + "]"
 _CLOCK = r"(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d"
-_FIRST_DATE = rf"^{_NOT_BLANK}*?({DATE_PATTERN})"
-_SLASH_OR_ISO = r"(?:\d{1,2}/\d{1,2}/(?:\d{4}|\d{2})|\d{4}-\d{1,2}-\d{1,2})"
+_SLASH_OR_ISO = r"\d{1,2}/\d{1,2}/(?:\d{4}|\d{2})|\d{4}-\d{1,2}-\d{1,2}"
 _DASH = r"\d{1,2}-\d{1,2}-(?:\d{4}|\d{2})"
 # A one-digit day padded with a blank is accepted in ISO and in month-first forms.
 _PADDED_ISO = rf"^(\d{{4}}-\d{{1,2}}-) ([1-9](?:{_BLANK}+{_CLOCK})?)$"
 _PADDED_MONTH_FIRST = rf"^(1[0-2]|0?[1-9])/ ([1-9])(/(?:\d{{4}}|\d{{2}}){_BLANK}+{_CLOCK})$"
 
 
-def _is_date(year: Column, month: Column, day: Column) -> Column:
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    days = (
-        F.when(month == 2, F.when(leap, 29).otherwise(28))
-        .when(month.isin(4, 6, 9, 11), 30)
-        .otherwise(31)
-    )
-    return year.between(1, 9999) & month.between(1, 12) & day.between(1, days)
-
-
-def _stripped(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn("_text", strip(as_text(F.col(column), df.schema[column].dataType)))
-
-
-def _date_of_text(df: DataFrame) -> DataFrame:
-    """From ``_text``: ``_date``, the first date in the first word, and ``_day_first``."""
-    df = df.withColumn("_found", F.regexp_extract("_text", _FIRST_DATE, 1))
-    df = df.withColumn("_parts", F.split("_found", "[/.-]"))
-    a, b, c = (F.get("_parts", i) for i in range(3))
-    iso = F.length(a) == 4
-    df = df.withColumns(
-        {
-            "_iso": iso,
-            "_y": F.when(iso, a).otherwise(c),
-            "_a": a.try_cast("int"),
-            "_b": b.try_cast("int"),
-            "_c": c.try_cast("int"),
-        }
-    )
-    digits, number = F.length("_y"), F.col("_y").try_cast("int")
-    century = F.when(number < YEAR_PIVOT, 2000).otherwise(1900)
-    df = df.withColumn("_y", F.when(digits == 4, number).when(digits == 2, number + century))
-    one_separator = F.col("_found").rlike(r"^\d+([/.-])\d+\1\d+$")
-    iso, year, x, y, z = (F.col(n) for n in ("_iso", "_y", "_a", "_b", "_c"))
-    df = df.withColumns(
-        {
-            "_day_first": one_separator & ~iso & _is_date(year, y, x),
-            "_month_first": one_separator
-            & ~iso
-            & ~F.col("_found").contains(".")
-            & _is_date(year, x, y),
-            "_iso": one_separator & iso & _is_date(year, y, z),
-        }
-    )
-    date = (
-        F.when(F.col("_day_first"), F.make_date(year, y, x))
-        .when(F.col("_month_first"), F.make_date(year, x, y))
-        .when(F.col("_iso"), F.make_date(year, y, z))
-    )
-    return df.withColumn("_date", date).drop(
-        "_found", "_parts", "_iso", "_y", "_a", "_b", "_c", "_month_first"
-    )
+def _found_date(text: Column) -> Column:
+    """The first date in the first word, its year written with four digits."""
+    found = F.regexp_extract(text, rf"^{_NOT_BLANK}*?({DATE_PATTERN})", 1)
+    for century, years in CENTURIES.items():
+        short = rf"^(?<head>\d{{1,2}}([/.-])\d{{1,2}}\2)(?<year>{years})$"
+        found = F.regexp_replace(found, short, "${head}" + century + "${year}")
+    return found
+
+
+def _day_first(found: Column) -> Column:
+    """ISO and day-first dates. A text in any other form, or no real date, gives NULL."""
+    iso = F.regexp_replace(found, r"^(\d{1,2})([/.-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$3-$1")
+    return F.nullif(iso, F.regexp_extract(iso, "^0000.*$", 0)).try_cast("date")
+
+
+def _month_first(found: Column) -> Column:
+    iso = F.regexp_replace(found, r"^(\d{1,2})([/-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$1-$3")
+    return F.nullif(iso, found).try_cast("date")
 
 
-def with_date(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Add the date in the first word of ``column``; NULL where there is none."""
-    if isinstance(df.schema[column].dataType, TEMPORAL):
-        return df.withColumn(into, F.col(column).cast("date"))
-    out = _date_of_text(_stripped(df, column))
-    return out.withColumn(into, F.col("_date")).drop("_text", "_date", "_day_first")
+def parse_date(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """The date in the first word of the text; NULL where there is none."""
+    if isinstance(dtype, TEMPORAL):
+        return c.cast("date")
+    found = _found_date(strip(as_text(c, dtype)))
+    return F.coalesce(_day_first(found), _month_first(found))
 
 
-def with_timestamp(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Add a UTC timestamp read from day-first, month-first and ISO texts.
+def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
+    """A UTC timestamp read from day-first, month-first and ISO texts.
 
     The clock counts where date and clock together fill the text; any other text that
     starts with a date gives that date at midnight.
     """
-    if isinstance(df.schema[column].dataType, TEMPORAL):
-        return df.withColumn(into, F.col(column).cast("timestamp"))
-    out = _stripped(df, column)
-    text = F.col("_text")
-    out = out.withColumn(
-        "_text",
-        F.when(text.contains("- "), F.regexp_replace(text, _PADDED_ISO, "$1$2"))
-        .when(text.contains("/ "), F.regexp_replace(text, _PADDED_MONTH_FIRST, "$2/$1$3"))
-        .otherwise(text),
-    )
-    out = _date_of_text(out)
-    tail = rf"{_BLANK}+{_CLOCK}$"
-    timed = text.rlike(rf"^{_SLASH_OR_ISO}{tail}") | (
-        F.col("_day_first") & text.rlike(rf"^{_DASH}{tail}")
-    )
-    # Only texts with a colon can carry a clock.
-    clock = F.split(F.regexp_extract(text, rf"{_BLANK}({_CLOCK})$", 1), ":")
-    out = out.withColumn("_clock", F.when(text.contains(":") & timed, clock))
-    hour, minute, second = (F.get("_clock", i).try_cast("int") for i in range(3))
-    seconds = F.coalesce(hour * 3600 + minute * 60 + second, F.lit(0))
-    midnight = F.unix_date("_date").cast("long") * 86400
-    return out.withColumn(into, F.timestamp_seconds(midnight + seconds)).drop(
-        "_text", "_date", "_day_first", "_clock"
+    if isinstance(dtype, TEMPORAL):
+        return c.cast("timestamp")
+    text = F.regexp_replace(strip(as_text(c, dtype)), _PADDED_ISO, "$1$2")
+    text = F.regexp_replace(text, _PADDED_MONTH_FIRST, "$2/$1$3")
+    found = _found_date(text)
+
+    def at_clock(date: Column, shapes: str) -> Column:
+        clock = F.regexp_extract(text, rf"^(?:{shapes}){_BLANK}+({_CLOCK})$", 1)
+        seconds = F.unix_seconds(F.concat(F.lit("1970-01-01 "), clock, F.lit("Z")).try_cast("timestamp"))
+        midnight = F.unix_date(date).cast("long") * 86400
+        return F.timestamp_seconds(midnight + F.coalesce(seconds, F.lit(0)))
+
+    # A dashed date with a clock is only read day first; month first leaves it at midnight.
+    return F.coalesce(
+        at_clock(_day_first(found), f"{_SLASH_OR_ISO}|{_DASH}"),
+        at_clock(_month_first(found), _SLASH_OR_ISO),
     )
 
 
@@ -149,36 +107,34 @@ def _literal_to_hex(text: Column) -> Column:
     return F.when(whole, F.array_join(F.transform(tokens, to_hex), ""))
 
 
-def with_binary_timestamp(df: DataFrame, column: str, into: str) -> DataFrame:
-    """Add the text of a 16-byte timestamp: six little-endian int16 and a uint32 fraction.
+def _decode_hex(digits: Column) -> Column:
+    """Six little-endian int16 and a uint32 in hex, as timestamp text."""
+    swapped = F.regexp_replace(digits, "(..)(..)", "$2$1")
+    fields = [
+        F.pmod(F.conv(F.substring(swapped, i, 4), 16, 10).cast("int") + 32768, F.lit(65536)) - 32768
+        for i in range(1, 25, 4)
+    ]
+    shown = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *fields)
+    return F.when(F.length(digits) == 32, F.nullif(F.regexp_extract(shown, BINARY_DATE, 0), F.lit("")))
+
+
+def decode_binary_timestamp(c: Column, dtype: T.DataType = T.BinaryType()) -> Column:
+    """Text of a 16-byte timestamp: six little-endian int16 and a uint32 fraction.
 
     Takes bytes, byte-literal text, or ``\\x`` hex text. NULL for any other value and for
     dates out of range; the clock fields are printed as they are.
     """
-    dtype = df.schema[column].dataType
     if isinstance(dtype, T.BinaryType):
-        out = df.withColumn("_hex", F.hex(column))
-    elif isinstance(dtype, T.StringType):
-        text = strip(F.col(column))
-        digits = F.substr(text, F.lit(3))
-        pairs = digits.rlike(r"^\s*(?:[0-9a-fA-F]{2}\s*)*$")
-        out = df.withColumn(
-            "_hex",
-            F.when(text.rlike("""^b['"]"""), _literal_to_hex(text)).when(
-                text.startswith("\\x"), F.when(pairs, F.regexp_replace(digits, r"\s", ""))
-            ),
-        )
-    else:
-        return df.withColumn(into, F.lit(None).cast("string"))
-    hex_text = F.when(F.length("_hex") == 32, F.col("_hex"))
-    low_high = [
-        F.conv(F.concat(F.substring(hex_text, i + 3, 2), F.substring(hex_text, i + 1, 2)), 16, 10)
-        for i in range(0, 24, 4)
-    ]
-    names = ["_b0", "_b1", "_b2", "_b3", "_b4", "_b5"]
-    out = out.withColumns({n: v.cast("int") for n, v in zip(names, low_high)})
-    signed = [F.when(F.col(n) >= 32768, F.col(n) - 65536).otherwise(F.col(n)) for n in names]
-    year, month, day = signed[:3]
-    valid = year.between(*BINARY_YEARS) & month.between(1, 12) & day.between(1, 31)
-    shown = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *signed)
-    return out.withColumn(into, F.when(valid, shown)).drop("_hex", *names)
+        return _decode_hex(F.hex(c))
+    if not isinstance(dtype, T.StringType):
+        return F.lit(None).cast("string")
+    text = strip(c)
+    hex_text = F.nullif(
+        F.regexp_extract(text, r"^\\x\s*((?:[0-9a-fA-F]{2}\s*)*)$", 1), F.lit("")
+    )
+    digits = F.when(text.startswith("\\x"), F.regexp_replace(hex_text, r"\s", "")).otherwise(
+        _literal_to_hex(text)
+    )
+    # The one-element array names the digits, so that their expression is not repeated.
+    decoded = F.get(F.transform(F.array(digits), _decode_hex), 0)
+    return F.when(text.rlike(r"""^(?:b['"]|\\x)"""), decoded)

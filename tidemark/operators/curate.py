@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions import as_text, clean_text, parse_amount, parse_flag
-from tidemark.functions.dates import with_binary_timestamp, with_timestamp
+from tidemark.functions import (
+    as_text,
+    clean_text,
+    decode_binary_timestamp,
+    parse_amount,
+    parse_flag,
+    parse_timestamp,
+)
 from tidemark.functions.identity import row_id, with_canonical
 from tidemark.specs import AMOUNT, DATE_TEXT, FLAG, TableSpec
 
@@ -74,9 +80,8 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
         else:
             cleaned[f.target] = clean_text(c, dtype)
             if f.kind == DATE_TEXT and isinstance(dtype, (T.StringType, T.BinaryType)):
-                out = with_binary_timestamp(out, f.target, "_decoded")
-                cleaned[f.target] = F.coalesce("_decoded", cleaned[f.target])
-    return out.withColumns(cleaned).drop("_decoded")
+                cleaned[f.target] = F.coalesce(decode_binary_timestamp(c, dtype), cleaned[f.target])
+    return out.withColumns(cleaned)
 
 
 def with_checksum(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -89,17 +94,18 @@ def with_ingestion(df: DataFrame, spec: TableSpec, source_system: str) -> DataFr
     """Add checksum, row id, constants and, where the row has a date, ``created_at``."""
     if not source_system:
         raise ValueError("source_system is required")
-    out = with_checksum(df, spec)
-    out = out.withColumns(
+    if spec.date is None:
+        created_at = F.lit(None).cast("timestamp")
+    else:
+        created_at = parse_timestamp(F.col(spec.date.target))
+    return with_checksum(df, spec).withColumns(
         {
             "raw_id": row_id(spec.source_table, F.col(spec.key.target)),
             "source_system": F.lit(source_system),
             "is_processed": F.lit(False),
+            "created_at": created_at,
         }
     )
-    if spec.date is None:
-        return out.withColumn("created_at", F.lit(None).cast("timestamp"))
-    return with_timestamp(out, spec.date.target, "created_at")
 
 
 def map_to_raw(df: DataFrame, spec: TableSpec, source_system: str) -> DataFrame:

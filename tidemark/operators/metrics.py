@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.dates import with_timestamp
+from tidemark.functions import parse_timestamp
 from tidemark.operators.curate import curate
 from tidemark.operators.state import FAILED, SUCCESS
 from tidemark.specs import TableSpec
@@ -21,8 +21,9 @@ def sync_lag(source: DataFrame, target: DataFrame, spec: TableSpec) -> DataFrame
 
     Source dates are parsed before the maximum is taken, so mixed text forms compare.
     """
-    dated = with_timestamp(curate(source, spec), spec.date.target, "_ts")
-    newest = dated.agg(F.max("_ts").alias("source_max"))
+    dates = curate(source, spec).select(spec.date.target)
+    parsed = parse_timestamp(F.col(spec.date.target), dates.schema[0].dataType)
+    newest = dates.agg(F.max(parsed).alias("source_max"))
     stored = target.agg(F.max("created_at").alias("target_max"))
     minutes = (F.unix_micros("source_max") - F.unix_micros("target_max")) / 60e6
     return (
