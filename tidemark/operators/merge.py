@@ -23,20 +23,28 @@ def dedupe_last(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataF
     return df.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
 
 
-def classify(source: DataFrame, target: DataFrame, key: str, small_source: bool = False) -> DataFrame:
-    """Source rows (one per key) with ``change_type`` and ``old_created_at`` of the target.
+def matching(table: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
+    """The rows of a large table that can match a batch.
 
-    ``small_source`` promises that the source keys fit a broadcast: then the target is
-    only filtered by them and never shuffled.
+    ``keys`` are the batch keys where these are known to fit a broadcast. The table is then
+    only filtered by them, and what is left, at most one row per batch key, is broadcast to
+    the batch: neither step shuffles the table.
     """
+    if keys is None:
+        return table
+    return F.broadcast(table.join(F.broadcast(keys), key, "left_semi"))
+
+
+def classify(
+    source: DataFrame, target: DataFrame, key: str, small_keys: DataFrame | None = None
+) -> DataFrame:
+    """Source rows (one per key) with ``change_type`` and ``old_created_at`` of the target."""
     known = target.select(
         F.col(key),
         F.col("checksum").alias("_old_checksum"),
         F.col("created_at").alias("old_created_at"),
     )
-    if small_source:
-        known = known.join(F.broadcast(source.select(key)), key, "left_semi")
-    joined = source.join(known, key, "left")
+    joined = source.join(matching(known, key, small_keys), key, "left")
     kind = (
         F.when(F.col("_old_checksum").isNull(), INSERT)
         .when(F.col("_old_checksum") != F.col("checksum"), UPDATE)
@@ -83,7 +91,11 @@ def upsert_changed(
 
 
 def fingerprint_changes(
-    old: DataFrame, seen: DataFrame, table: str, run_ts: datetime, small_source: bool = False
+    old: DataFrame,
+    seen: DataFrame,
+    table: str,
+    run_ts: datetime,
+    small_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Fingerprint rows of the seen keys: first time kept, change time moved only when
     the checksum differs. ``seen`` is (entity_id, checksum), one row per key."""
@@ -94,11 +106,9 @@ def fingerprint_changes(
         F.col("first_seen_at").alias("_first"),
         F.col("last_changed_at").alias("_changed"),
     )
-    if small_source:
-        known = known.join(F.broadcast(seen.select("entity_id")), "entity_id", "left_semi")
     same = F.col("_old") == F.col("checksum")
     return (
-        seen.join(known, "entity_id", "left")
+        seen.join(matching(known, "entity_id", small_keys), "entity_id", "left")
         .select(
             F.lit(table).alias("table_name"),
             "entity_id",

@@ -108,16 +108,28 @@ class TableSync:
         row = self.checkpoints(spec).first()
         return (row.last_sync_key, row.last_reconcile_key) if row else (None, None)
 
-    def _advance(self, spec: TableSpec, sync_key=None, reconcile_key=None, reset=False) -> None:
-        schema = (
-            "table_name string, last_sync_key string, last_reconcile_key string,"
-            " cycle_id string, status string, reset_reconcile boolean"
+    def _advance(
+        self,
+        spec: TableSpec,
+        sync_key: str | None = None,
+        reconcile_key: str | None = None,
+        reset: bool = False,
+    ) -> None:
+        values = {
+            "table_name": spec.source_table,
+            "last_sync_key": sync_key,
+            "last_reconcile_key": reconcile_key,
+            "cycle_id": self.cycle_id,
+            "status": state.SUCCESS,
+        }
+        new = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(v).cast("string").alias(n) for n, v in values.items()],
+            F.lit(reset).alias("reset_reconcile"),
         )
-        row = (spec.source_table, sync_key, reconcile_key, self.cycle_id, state.SUCCESS, reset)
-        new = self.spark.createDataFrame([row], schema)
-        name = f"{CHECKPOINTS}/{spec.target_table}"
+        # One row on each side, each in one partition: nothing to shuffle.
+        old = self.checkpoints(spec).coalesce(1)
         self.store.replace(
-            name, state.advance_checkpoints(self.checkpoints(spec), new, self.run_ts).coalesce(1)
+            f"{CHECKPOINTS}/{spec.target_table}", state.advance_checkpoints(old, new, self.run_ts)
         )
 
     # -- one batch ---------------------------------------------------------------------
@@ -152,14 +164,14 @@ class TableSync:
         if batch.rejected:
             self.store.append(FAILURES, quality.dead_letters(rows, spec, self.run_ts))
         if batch.good:
-            small = size <= BROADCAST_BYTES
+            keys = staged.select(key) if size <= BROADCAST_BYTES else None
             within = F.col(key).between(seen["low"], seen["high"])
             latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
             if self.skip_known:
                 latest = merge.fingerprint_delta(
                     latest, self.fingerprints(spec), spec.source_table, key
                 )
-            kinds = merge.classify(latest, self.target(spec).where(within), key, small)
+            kinds = merge.classify(latest, self.target(spec).where(within), key, keys)
             counted = kinds.observe(
                 merged,
                 *[
@@ -176,15 +188,19 @@ class TableSync:
             batch.inserted = counts[merge.INSERT]
             batch.updated = counts[merge.UPDATE]
             batch.unchanged = counts[merge.UNCHANGED]
-            self._remember(spec, staged, small, seen["low"], seen["high"])
+            self._remember(spec, staged, keys, seen["low"], seen["high"])
         self.store.drop(path)
         return batch
 
-    def _remember(self, spec: TableSpec, staged: DataFrame, small: bool, low: str, high: str) -> None:
-        narrow = staged.select(F.col(spec.key.target).alias("entity_id"), "checksum", "_seq")
+    def _remember(
+        self, spec: TableSpec, staged: DataFrame, keys: DataFrame | None, low: str, high: str
+    ) -> None:
+        key = spec.key.target
+        narrow = staged.select(F.col(key).alias("entity_id"), "checksum", "_seq")
         latest = merge.dedupe_last(narrow, "entity_id", ["_seq", "checksum"]).drop("_seq")
         old = self.fingerprints(spec).where(F.col("entity_id").between(low, high))
-        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts, small)
+        ids = None if keys is None else keys.select(F.col(key).alias("entity_id"))
+        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts, ids)
         self.store.change(self.fingerprint_table(spec), changes)
 
     # -- flows -------------------------------------------------------------------------
@@ -232,11 +248,14 @@ class TableSync:
 
     def prune(self, spec: TableSpec, days: int = 0) -> int:
         """Take processed rows past their retention out of the target; returns how many."""
+        if not self.store.exists(spec.target_table):
+            return 0
         gone = self.target(spec).where(retention.is_prunable(spec, self.run_ts, days))
-        return self.store.change(
+        layer = self.store.change(
             spec.target_table,
             gone.select(spec.key.target, F.lit(merge.DELETE).alias("change_type")),
         )
+        return self.store.count_layer(layer)
 
     def mark_processed(self, spec: TableSpec, keys: DataFrame) -> None:
         """What a downstream consumer does with the rows it has taken."""
@@ -266,7 +285,9 @@ def _isolated(sync: TableSync, spec: TableSpec, mode: str, run: Callable[[], Tas
         )
 
 
-def prune_all(sync: TableSync, specs: list[TableSpec], days: int = 0) -> DataFrame:
+def prune_all(
+    sync: TableSync, specs: list[TableSpec], days: int = 0, workers: int = 2
+) -> DataFrame:
     """Prune every table: (table_name, pruned, error), one row per table."""
 
     def one(spec: TableSpec) -> tuple[str, int | None, str | None]:
@@ -275,7 +296,8 @@ def prune_all(sync: TableSync, specs: list[TableSpec], days: int = 0) -> DataFra
         except Exception as e:
             return spec.target_table, None, str(e).split("\n")[0]
 
-    rows = [one(s) for s in specs]
+    with ThreadPoolExecutor(workers) as pool:
+        rows = list(pool.map(one, specs))
     return sync.spark.createDataFrame(rows, "table_name string, pruned long, error string")
 
 
@@ -297,7 +319,7 @@ def sync_cycle(
     start = spark.createDataFrame([(sync.cycle_id, sync.run_ts)], "cycle_id string, start_time timestamp")
     store.replace(RUNS, state.open_runs(log, start).coalesce(1))
     started = monotonic()
-    pruned = prune_all(sync, specs, retention_days).where("error IS NOT NULL").count()
+    pruned = prune_all(sync, specs, retention_days, workers).where("error IS NOT NULL").count()
 
     def table(spec: TableSpec) -> list[TaskResult]:
         source = sources[spec.source_table]

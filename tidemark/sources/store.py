@@ -43,6 +43,14 @@ class TableStore:
         base = (self._versions(table, "base") or [None])[-1]
         return base, [v for v in self._versions(table, "delta") if base is None or v > base]
 
+    def _change_types(self, table: str, version: int) -> list[str]:
+        names = self._children(self._path(table, "delta", f"v={version}"))
+        return [n.split("=")[1] for n in names if n.startswith("change_type=")]
+
+    def exists(self, table: str) -> bool:
+        base, deltas = self.layers(table)
+        return base is not None or bool(deltas)
+
     def size(self, path: str) -> int:
         fs, p = self._hadoop(path)
         return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
@@ -61,19 +69,18 @@ class TableStore:
         """
         base, deltas = self.layers(table)
         reader = self.spark.read.schema(schema)
-        empty = self.spark.createDataFrame([], schema)
-        rows = empty if base is None else reader.parquet(self._path(table, "base", f"v={base}"))
-        kinds = {v: self._children(self._path(table, "delta", f"v={v}")) for v in deltas}
-        filled = [v for v in deltas if any(c.startswith("change_type=") for c in kinds[v])]
+        rows = None if base is None else reader.parquet(self._path(table, "base", f"v={base}"))
+        kinds = {v: self._change_types(table, v) for v in deltas}
+        filled = [v for v in deltas if kinds[v]]
         if not filled:
-            return rows
+            return self.spark.createDataFrame([], schema) if rows is None else rows
         root = self._path(table, "delta")
         changes = self.spark.read.schema(schema).option("basePath", root).parquet(
             *[f"{root}/v={v}" for v in filled]
         )
-        inserts = changes.where(F.col("change_type") == INSERT)
-        rows = rows.unionByName(inserts.select(schema.fieldNames()))
-        if all(c in (f"change_type={INSERT}", "_SUCCESS") for v in filled for c in kinds[v]):
+        inserts = changes.where(F.col("change_type") == INSERT).select(schema.fieldNames())
+        rows = inserts if rows is None else rows.unionByName(inserts)
+        if all(kinds[v] == [INSERT] for v in filled):
             return rows
         moved = changes.where(F.col("change_type") != INSERT).select(key).distinct()
         latest = dedupe_last(changes.join(moved, key, "left_semi"), key, ["v"])
@@ -92,14 +99,18 @@ class TableStore:
         """Add rows to a table without keys."""
         self.change(table, df.withColumn("change_type", F.lit(INSERT)))
 
-    def change(self, table: str, df: DataFrame) -> int:
-        """A change layer, and its number of rows: full rows with ``change_type`` insert or
-        update; of deleted rows only the key is needed."""
+    def change(self, table: str, df: DataFrame) -> str:
+        """Write a change layer and return its path: full rows with ``change_type`` insert
+        or update; of deleted rows only the key is needed."""
         path = self._path(table, "delta", f"v={self._next(table)}")
         df.write.partitionBy("change_type").parquet(path)
+        return path
+
+    def count_layer(self, path: str) -> int:
+        """Rows of a written layer, from its file footers."""
         if not any(c.startswith("change_type=") for c in self._children(path)):
             return 0
-        return self.spark.read.schema(df.schema).parquet(path).count()  # from file footers
+        return self.spark.read.schema("change_type string").parquet(path).count()
 
     def compact(
         self,
