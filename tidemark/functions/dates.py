@@ -12,7 +12,7 @@ from tidemark.functions.text import WHITESPACE, as_text, strip
 
 # Accepted forms of a date. Day first wins over month first; a dot only
 # separates day-first dates; two-digit years below 69 are 20xx, the rest 19xx.
-DATE_PATTERN = r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}|\d{4}-\d{1,2}-\d{1,2}"
+DATE_PATTERN = r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}|(?!0000)\d{4}-\d{1,2}-\d{1,2}"
 CENTURIES = {"20": r"[0-5]\d|6[0-8]", "19": r"69|[7-9]\d"}
 BINARY_DATE = r"^(?:(?:19|20)\d\d|2100)-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]) .*$"
 
@@ -28,6 +28,12 @@ _PADDED_ISO = rf"^(\d{{4}}-\d{{1,2}}-) ([1-9](?:{_BLANK}+{_CLOCK})?)$"
 _PADDED_MONTH_FIRST = rf"^(1[0-2]|0?[1-9])/ ([1-9])(/(?:\d{{4}}|\d{{2}}){_BLANK}+{_CLOCK})$"
 
 
+def _plain_iso(text: Column) -> Column:
+    """``yyyy-MM-dd`` with or without a clock, the form that needs no rewriting."""
+    plain = F.regexp_extract(text, rf"^(?!0000)\d{{4}}-\d\d-\d\d(?: {_CLOCK})?$", 0)
+    return F.concat(plain, F.lit("Z")).try_cast("timestamp")
+
+
 def _found_date(text: Column) -> Column:
     """The first date in the first word, its year written with four digits."""
     found = F.regexp_extract(text, rf"^{_NOT_BLANK}*?({DATE_PATTERN})", 1)
@@ -39,13 +45,13 @@ def _found_date(text: Column) -> Column:
 
 def _day_first(found: Column) -> Column:
     """ISO and day-first dates. A text in any other form, or no real date, gives NULL."""
-    iso = F.regexp_replace(found, r"^(\d{1,2})([/.-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$3-$1")
-    return F.nullif(iso, F.regexp_extract(iso, "^0000.*$", 0)).try_cast("date")
+    turned = F.regexp_replace(found, r"^(\d{1,2})([/.-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$3-$1")
+    return turned.try_cast("date")
 
 
 def _month_first(found: Column) -> Column:
-    iso = F.regexp_replace(found, r"^(\d{1,2})([/-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$1-$3")
-    return F.nullif(iso, found).try_cast("date")
+    turned = F.regexp_replace(found, r"^(\d{1,2})([/-])(\d{1,2})\2(?!0000)(\d{4})$", "$4-$1-$3")
+    return turned.try_cast("date")
 
 
 def parse_date(c: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -64,7 +70,8 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """
     if isinstance(dtype, TEMPORAL):
         return c.cast("timestamp")
-    text = F.regexp_replace(strip(as_text(c, dtype)), _PADDED_ISO, "$1$2")
+    stripped = strip(as_text(c, dtype))
+    text = F.regexp_replace(stripped, _PADDED_ISO, "$1$2")
     text = F.regexp_replace(text, _PADDED_MONTH_FIRST, "$2/$1$3")
     found = _found_date(text)
 
@@ -76,11 +83,20 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
 
     # A dashed date with a clock is only read day first; month first leaves it at midnight.
     return F.coalesce(
+        _plain_iso(stripped),
         at_clock(_day_first(found), f"{_SLASH_OR_ISO}|{_DASH}"),
         at_clock(_month_first(found), _SLASH_OR_ISO),
     )
 
 
+def date_of_typed(c: Column) -> Column:
+    """What ``parse_timestamp`` reads from the printed text of a typed timestamp: whole
+    seconds are kept, a fraction leaves the date."""
+    ts = c.cast("timestamp")
+    whole = F.when(ts == F.date_trunc("second", ts), ts).otherwise(F.date_trunc("day", ts))
+    return F.when(F.year(ts).between(1, 9999), whole)
+
+
 def _literal_to_hex(text: Column) -> Column:
     """Hex of a byte-literal text such as ``b'\\xe6\\x07\\n'``; NULL if it is not one."""
     body = F.regexp_extract(text, r"""(?s)^b(['"])(.*)\1$""", 2)

@@ -12,6 +12,7 @@ from tidemark.functions import (
     parse_flag,
     parse_timestamp,
 )
+from tidemark.functions.dates import TEMPORAL, date_of_typed
 from tidemark.functions.identity import row_id, with_canonical
 from tidemark.specs import AMOUNT, DATE_TEXT, FLAG, TableSpec
 
@@ -53,7 +54,7 @@ def source_key(df: DataFrame, spec: TableSpec) -> Column:
 
 
 def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFrame:
-    """Entity columns of the spec, cleaned by kind.
+    """Entity columns of the spec, cleaned by kind, and ``created_at`` from the row's date.
 
     ``_raw_key`` is the key text before cleaning and ``_seq`` the arrival order. With
     ``payload`` the whole source row is added as JSON; without it unused source columns
@@ -70,7 +71,7 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
         picked.append(F.to_json(row, {"ignoreNullFields": "false"}).alias("_payload"))
     out = _by_position(df).select(*picked)
 
-    cleaned = {}
+    cleaned = {"created_at": F.lit(None).cast("timestamp")}
     for f in spec.fields:
         c, dtype = F.col(f.target), resolved[f.target][1]
         if f.kind == FLAG:
@@ -81,6 +82,11 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
             cleaned[f.target] = clean_text(c, dtype)
             if f.kind == DATE_TEXT and isinstance(dtype, (T.StringType, T.BinaryType)):
                 cleaned[f.target] = F.coalesce(decode_binary_timestamp(c, dtype), cleaned[f.target])
+                cleaned["created_at"] = parse_timestamp(cleaned[f.target])
+            elif f.kind == DATE_TEXT:
+                typed = isinstance(dtype, TEMPORAL)
+                text = cleaned[f.target]
+                cleaned["created_at"] = date_of_typed(c) if typed else parse_timestamp(text)
     return out.withColumns(cleaned)
 
 
@@ -91,19 +97,14 @@ def with_checksum(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def with_ingestion(df: DataFrame, spec: TableSpec, source_system: str) -> DataFrame:
-    """Add checksum, row id, constants and, where the row has a date, ``created_at``."""
+    """Add checksum, row id and constants to cleaned rows."""
     if not source_system:
         raise ValueError("source_system is required")
-    if spec.date is None:
-        created_at = F.lit(None).cast("timestamp")
-    else:
-        created_at = parse_timestamp(F.col(spec.date.target))
     return with_checksum(df, spec).withColumns(
         {
             "raw_id": row_id(spec.source_table, F.col(spec.key.target)),
             "source_system": F.lit(source_system),
             "is_processed": F.lit(False),
-            "created_at": created_at,
         }
     )
 
