@@ -45,6 +45,7 @@ def test_numbers_as_text(spark):
     doubles = [0.0, -0.0, 5.0, 1863.84, 1e7, 123456789.5, 1.5e15, 1e16, 1e-4, 0.00012345, 1e-5, 3e22, -2.5e-7,
                float("inf"), float("-inf"), float("nan"), 9999999.0, 0.001]
     assert one(spark, "double", doubles, lambda c: as_text(c, T.DoubleType())) == [str(d) for d in doubles]
+    assert one(spark, "double", [None, 1.0], lambda c: clean_text(c, T.DoubleType())) == [None, "1.0"]
     assert one(spark, "bigint", [7, -1], lambda c: clean_text(c, T.LongType())) == ["7", "-1"]
     assert one(spark, "boolean", [True, False, None], lambda c: as_text(c, T.BooleanType())) == ["True", "False", None]
 

@@ -49,7 +49,8 @@ def double_to_text(c: Column) -> Column:
         "%se%s%02d", mantissa, F.when(exponent < 0, "-").otherwise("+"), F.abs(exponent)
     )
     return (
-        F.when(F.isnan(c), "nan")
+        F.when(c.isNull(), None)
+        .when(F.isnan(c), "nan")
         .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
         .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), short)
         .when((size >= 1e-4) & (size < 1e16), plain)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # A binaryFile row holds one file in memory; Spark refuses content above 2 GiB.
@@ -31,9 +34,20 @@ def source_snapshot(
     facts = [F.col("path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime")]
     small = files.where(F.col("length") <= hash_limit)
     large = files.where(F.col("length") > hash_limit)
-    return small.select(*facts, F.sha2("content", 256).alias("sha256")).unionByName(
+    found = small.select(*facts, F.sha2("content", 256).alias("sha256")).unionByName(
         large.select(*facts, F.lit(None).cast("string").alias("sha256"))
     )
+    # A scan passes over empty files; the listing that Spark holds for it has them.
+    listed = [(re.sub("^file:/+", "file:/", unquote(f)),) for f in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(files.select("path"), "path", "left_anti")
+    return found.unionByName(
+        empty.select(
+            "path",
+            F.lit(0).cast("long").alias("size"),
+            F.lit(None).cast("timestamp").alias("mtime"),
+            F.sha2(F.lit(""), 256).alias("sha256"),
+        )
+    )
 
 
 def source_changes(before: DataFrame, now: DataFrame) -> DataFrame:
