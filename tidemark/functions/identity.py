@@ -56,13 +56,14 @@ def _exact_canonical(amounts: frozenset[str]):
 
 
 def with_canonical(
-    df: DataFrame, columns: Sequence[tuple[str, str]], into: str = "canonical"
+    df: DataFrame, columns: Sequence[tuple[str, str]], into: str = "canonical", exact: bool = True
 ) -> DataFrame:
     """Add the canonical JSON of ``columns`` (name, kind): keys sorted, text normalised and
     upper-cased, amounts with four decimals, NULLs kept.
 
     Rows that end up plain ASCII are done by Spark alone. The exact path sees one string
-    per row that needs it and NULL for the others, so the input is read only once.
+    per row that needs it and NULL for the others, so the input is read only once. Without
+    ``exact`` those rows stay NULL, for a caller that treats them on their own.
     """
     ordered = sorted(columns)
     amounts = [n for n, k in ordered if k == AMOUNT]
@@ -82,10 +83,13 @@ def with_canonical(
     odd = (F.octet_length(q) != F.length(q)) | q.contains("\\u") | q.contains("\x7f")
     for name in amounts:
         odd = odd | F.coalesce(needs_exact(F.col(name)), F.lit(False))
-    source = F.to_json(F.struct(*[F.col(n) for n, _ in ordered]), keep_nulls)
-    exact = _exact_canonical(frozenset(amounts))
     staged = df.withColumn("_quick", quick).withColumn("_odd", odd)
-    staged = staged.withColumn("_exact", exact(F.when(F.col("_odd"), source)))
+    if exact:
+        source = F.to_json(F.struct(*[F.col(n) for n, _ in ordered]), keep_nulls)
+        fallback = _exact_canonical(frozenset(amounts))(F.when(F.col("_odd"), source))
+        staged = staged.withColumn("_exact", fallback)
+    else:
+        staged = staged.withColumn("_exact", F.lit(None).cast("string"))
     value = F.when(F.col("_odd"), F.col("_exact")).otherwise(F.col("_quick"))
     return staged.withColumn(into, value).drop("_quick", "_odd", "_exact")
 

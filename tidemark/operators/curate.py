@@ -90,17 +90,23 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
     return out.withColumns(cleaned)
 
 
-def with_checksum(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add the SHA-256 of the canonical row, over the entity columns only."""
-    out = with_canonical(df, [(f.target, f.kind) for f in spec.fields], into="_canonical")
+def with_checksum(df: DataFrame, spec: TableSpec, exact: bool = True) -> DataFrame:
+    """Add the SHA-256 of the canonical row, over the entity columns only.
+
+    Without ``exact`` it is NULL for the few rows that Spark alone cannot do.
+    """
+    columns = [(f.target, f.kind) for f in spec.fields]
+    out = with_canonical(df, columns, into="_canonical", exact=exact)
     return out.withColumn("checksum", F.sha2("_canonical", 256)).drop("_canonical")
 
 
-def with_ingestion(df: DataFrame, spec: TableSpec, source_system: str) -> DataFrame:
+def with_ingestion(
+    df: DataFrame, spec: TableSpec, source_system: str, exact: bool = True
+) -> DataFrame:
     """Add checksum, row id and constants to cleaned rows."""
     if not source_system:
         raise ValueError("source_system is required")
-    return with_checksum(df, spec).withColumns(
+    return with_checksum(df, spec, exact).withColumns(
         {
             "raw_id": row_id(spec.source_table, F.col(spec.key.target)),
             "source_system": F.lit(source_system),

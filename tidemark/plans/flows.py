@@ -9,10 +9,10 @@ from dataclasses import asdict, dataclass
 from datetime import datetime
 from time import monotonic
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.operators import keyset, merge, metrics, quality, retention, state
-from tidemark.operators.curate import clean_table, with_ingestion
+from tidemark.operators.curate import clean_table, with_checksum, with_ingestion
 from tidemark.session import new_dir
 from tidemark.sources.store import TableStore
 from tidemark.specs import (
@@ -140,67 +140,91 @@ class TableSync:
         1. one narrow pass writes the mapped rows to shared storage and counts them;
         2. rejects, if that pass saw any, go to the dead-letter table;
         3. the last row of each key is compared with key and checksum of the target and
-           only new and changed rows are written;
+           only new and changed rows are written; side by side with that
         4. the fingerprints of all seen keys are written.
         """
         key = spec.key.target
-        scan, merged = Observation(), Observation()
+        scan, identified = Observation(), Observation()
+        good_key = F.when(F.col("_reason").isNull(), F.col(key))
         cleaned = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec))
         cleaned = cleaned.observe(
             scan,
             F.count(F.lit(1)).alias("scanned"),
             F.count("_reason").alias("rejected"),
             F.max(keyset.key_value(spec)).alias("max_key"),
-            F.min(F.when(F.col("_reason").isNull(), F.col(key))).alias("low"),
-            F.max(F.when(F.col("_reason").isNull(), F.col(key))).alias("high"),
+            F.min(good_key).alias("low"),
+            F.max(good_key).alias("high"),
         )
         good = cleaned.where("_reason IS NULL").drop("_reason", "_raw_key")
-        mapped = with_ingestion(good, spec, self.source_system)
+        mapped = with_ingestion(good, spec, self.source_system, exact=False)
+        mapped = mapped.observe(identified, F.count_if(F.col("checksum").isNull()).alias("odd"))
         path = new_dir(self.spark, f"stage-{spec.target_table}")
-        staged, size = self.store.stage(mapped, path)
+        staged, size = self.store.stage(mapped, f"{path}/plain")
         seen = scan.get
         max_key = None if seen["max_key"] is None else str(seen["max_key"])
         batch = Batch(seen["scanned"], seen["rejected"], seen["scanned"] - seen["rejected"], max_key)
         if batch.rejected:
             self.store.append(FAILURES, quality.dead_letters(rows, spec, self.run_ts))
         if batch.good:
-            keys = staged.select(key) if size <= BROADCAST_BYTES else None
+            if identified.get["odd"]:
+                odd = staged.where("checksum IS NULL").drop("checksum")
+                exact, more = self.store.stage(with_checksum(odd, spec), f"{path}/exact")
+                staged = staged.where("checksum IS NOT NULL").unionByName(exact)
+                size += more
+            small = size <= BROADCAST_BYTES
             within = F.col(key).between(seen["low"], seen["high"])
-            latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
-            if self.skip_known:
-                latest = merge.fingerprint_delta(
-                    latest, self.fingerprints(spec), spec.source_table, key
-                )
-            kinds = merge.classify(latest, self.target(spec).where(within), key, keys)
-            counted = kinds.observe(
-                merged,
-                *[
-                    F.count_if(F.col("change_type") == k).alias(k)
-                    for k in (merge.INSERT, merge.UPDATE, merge.UNCHANGED)
-                ],
-            )
-            changed = counted.where(F.col("change_type") != merge.UNCHANGED)
-            columns = [*spec.raw_schema.fieldNames(), "change_type"]
-            self.store.change(
-                spec.target_table, merge.stamp(changed, spec, self.run_ts).select(columns)
-            )
-            counts = merged.get
-            batch.inserted = counts[merge.INSERT]
-            batch.updated = counts[merge.UPDATE]
-            batch.unchanged = counts[merge.UNCHANGED]
-            self._remember(spec, staged, keys, seen["low"], seen["high"])
+            # Both tables as they are now: the steps below add layers while they run.
+            target, known = self.target(spec), self.fingerprints(spec)
+            with ThreadPoolExecutor(2) as pool:
+                steps = [
+                    pool.submit(self._merge, spec, staged, target.where(within), known, small, batch),
+                    pool.submit(self._remember, spec, staged, known, small, within),
+                ]
+                for step in steps:
+                    step.result()
         self.store.drop(path)
         return batch
 
+    def _merge(
+        self,
+        spec: TableSpec,
+        staged: DataFrame,
+        target: DataFrame,
+        known: DataFrame,
+        small: bool,
+        batch: Batch,
+    ) -> None:
+        key, merged = spec.key.target, Observation()
+        latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
+        if self.skip_known:
+            latest = merge.fingerprint_delta(latest, known, spec.source_table, key)
+        keys = staged.select(key) if small else None
+        kinds = merge.classify(latest, target, key, keys).observe(
+            merged,
+            *[
+                F.count_if(F.col("change_type") == k).alias(k)
+                for k in (merge.INSERT, merge.UPDATE, merge.UNCHANGED)
+            ],
+        )
+        changed = merge.stamp(kinds.where(F.col("change_type") != merge.UNCHANGED), spec, self.run_ts)
+        self.store.change(
+            spec.target_table, changed.select(*spec.raw_schema.fieldNames(), "change_type")
+        )
+        counts = merged.get
+        batch.inserted = counts[merge.INSERT]
+        batch.updated = counts[merge.UPDATE]
+        batch.unchanged = counts[merge.UNCHANGED]
+
     def _remember(
-        self, spec: TableSpec, staged: DataFrame, keys: DataFrame | None, low: str, high: str
+        self, spec: TableSpec, staged: DataFrame, known: DataFrame, small: bool, within: Column
     ) -> None:
         key = spec.key.target
-        narrow = staged.select(F.col(key).alias("entity_id"), "checksum", "_seq")
-        latest = merge.dedupe_last(narrow, "entity_id", ["_seq", "checksum"]).drop("_seq")
-        old = self.fingerprints(spec).where(F.col("entity_id").between(low, high))
-        ids = None if keys is None else keys.select(F.col(key).alias("entity_id"))
-        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts, ids)
+        narrow = merge.dedupe_last(staged.select(key, "checksum", "_seq"), key, ["_seq", "checksum"])
+        latest = narrow.select(F.col(key).alias("entity_id"), "checksum")
+        old = known.withColumnRenamed("entity_id", key).where(within)
+        old = old.withColumnRenamed(key, "entity_id")
+        keys = staged.select(F.col(key).alias("entity_id")) if small else None
+        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts, keys)
         self.store.change(self.fingerprint_table(spec), changes)
 
     # -- flows -------------------------------------------------------------------------
