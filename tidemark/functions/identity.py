@@ -56,14 +56,19 @@ def _exact_canonical(amounts: frozenset[str]):
 
 
 def with_canonical(
-    df: DataFrame, columns: Sequence[tuple[str, str]], into: str = "canonical", exact: bool = True
+    df: DataFrame,
+    columns: Sequence[tuple[str, str]],
+    into: str = "canonical",
+    exact: bool = True,
+    stripped: bool = False,
 ) -> DataFrame:
     """Add the canonical JSON of ``columns`` (name, kind): keys sorted, text normalised and
     upper-cased, amounts with four decimals, NULLs kept.
 
     Rows that end up plain ASCII are done by Spark alone. The exact path sees one string
     per row that needs it and NULL for the others, so the input is read only once. Without
-    ``exact`` those rows stay NULL, for a caller that treats them on their own.
+    ``exact`` those rows stay NULL, for a caller that treats them on their own. Columns
+    that come from the cleaning are already ``stripped`` and never blank.
     """
     ordered = sorted(columns)
     amounts = [n for n, k in ordered if k == AMOUNT]
@@ -74,7 +79,7 @@ def with_canonical(
             return fixed4(c)
         if kind == FLAG:
             return c.cast("string")
-        return F.nullif(F.upper(strip(c)), F.lit(""))
+        return F.upper(c) if stripped else F.nullif(F.upper(strip(c)), F.lit(""))
 
     keep_nulls = {"ignoreNullFields": "false"}
     quick = F.to_json(F.struct(*[native(n, k).alias(n) for n, k in ordered]), keep_nulls)

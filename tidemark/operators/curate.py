@@ -71,7 +71,7 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
         picked.append(F.to_json(row, {"ignoreNullFields": "false"}).alias("_payload"))
     out = _by_position(df).select(*picked)
 
-    cleaned = {"created_at": F.lit(None).cast("timestamp")}
+    cleaned, created_at = {}, F.lit(None).cast("timestamp")
     for f in spec.fields:
         c, dtype = F.col(f.target), resolved[f.target][1]
         if f.kind == FLAG:
@@ -80,14 +80,15 @@ def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFr
             cleaned[f.target] = parse_amount(c, dtype)
         else:
             cleaned[f.target] = clean_text(c, dtype)
-            if f.kind == DATE_TEXT and isinstance(dtype, (T.StringType, T.BinaryType)):
-                cleaned[f.target] = F.coalesce(decode_binary_timestamp(c, dtype), cleaned[f.target])
-                cleaned["created_at"] = parse_timestamp(cleaned[f.target])
-            elif f.kind == DATE_TEXT:
-                typed = isinstance(dtype, TEMPORAL)
-                text = cleaned[f.target]
-                cleaned["created_at"] = date_of_typed(c) if typed else parse_timestamp(text)
-    return out.withColumns(cleaned)
+        if f.kind == DATE_TEXT and isinstance(dtype, TEMPORAL):
+            out = out.withColumn("_date", date_of_typed(c))
+            created_at = F.col("_date")
+        elif f.kind == DATE_TEXT:
+            decoded = decode_binary_timestamp(c, dtype)
+            cleaned[f.target] = F.coalesce(decoded, cleaned[f.target])
+            created_at = parse_timestamp(c)
+    # The date is parsed from its cleaned text, one projection later.
+    return out.withColumns(cleaned).withColumn("created_at", created_at).drop("_date")
 
 
 def with_checksum(df: DataFrame, spec: TableSpec, exact: bool = True) -> DataFrame:
@@ -96,7 +97,7 @@ def with_checksum(df: DataFrame, spec: TableSpec, exact: bool = True) -> DataFra
     Without ``exact`` it is NULL for the few rows that Spark alone cannot do.
     """
     columns = [(f.target, f.kind) for f in spec.fields]
-    out = with_canonical(df, columns, into="_canonical", exact=exact)
+    out = with_canonical(df, columns, into="_canonical", exact=exact, stripped=True)
     return out.withColumn("checksum", F.sha2("_canonical", 256)).drop("_canonical")
 
 
