@@ -67,6 +67,17 @@ def test_numeric_order_on_text_keys(spark):
     assert kept == {"9", " 10 ", "A7"}
 
 
+def test_key_predicates_reach_the_scan(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumnsRenamed({"o_orderkey": "BILL_ID", "o_totalprice": "NET_AMOUNT"})
+    plan = keyset.after(orders, SALES, "700").select("NET_AMOUNT")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderkey,700)" in plan and "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+    both = orders.select(F.lit(None).cast("long").alias("x"), "*").toDF("Bill_ID", *orders.columns)
+    assert keyset.after(both, SALES, "700").count() == keyset.after(orders, SALES, "700").count() > 0
+    rows, end = keyset.chunk(orders, SALES, "700", 50)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert end == "750" and "LessThanOrEqual(o_orderkey,750)" in plan
+
+
 def test_only_changed_rows_are_written(spark, store):
     at(store).full(SALES, bills(spark, range(100)))
     changed = bills(spark, range(110), amount=lambda k: "7" if k % 10 == 3 else f"{k}.50")
@@ -182,6 +193,8 @@ def test_late_rows_wait_for_the_reconcile(spark, store):
     assert counts(at(store, DAY2).reconcile(SALES, source, 100)) == (4, 1, 0, 3, 0, 0)
     whole = at(store, DAY2)
     assert sorted(rows(whole)) == ["3", "5", "6", "7"]
+    newer = bills(spark, [8], date="03/04/24 12:11:12")
+    assert whole.lag(SALES, newer).first().lag_minutes == 120.0
 
 
 def test_incremental_and_reconcile_equal_a_full_sync(spark, store):
@@ -253,10 +266,12 @@ def test_cycle_runs_all_tables_and_one_failure_stops_no_other(spark, store):
     assert done["CUSTOMER_MASTER", "full"].errors == 1
     assert (run.cycle_id, run.status, run.rows_scanned, run.rows_failed) == ("cycle-1", "FAILED", 16, 1)
     sources["BILL_MASTER"] = spark.createDataFrame([(1,)], "other int")
+    del sources["ReturnGoods"]
     sources["CUSTOMER_MASTER"] = spark.createDataFrame([("1",)], "CUSTOMER_ID string")
     again = {(r.table_name, r.mode): r for r in sync_cycle(at(store, DAY2, cycle_id="cycle-2"), sources, list(SPECS.values())).collect()}
     assert "no key column" in again["BILL_MASTER", "incremental"].error
     assert again["Receipt_Master", "incremental"].error is None
+    assert "ReturnGoods" in again["ReturnGoods", "reconcile"].error
     status = {r.cycle_id: r.status for r in store.read("sync_runs", RUN_SCHEMA).collect()}
     assert status == {"cycle-1": "FAILED", "cycle-2": "FAILED"}
 

@@ -6,6 +6,8 @@ they stay small even where the optimizer copies them into a pushed-down filter.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F, types as T
 
 from tidemark.functions.text import WHITESPACE, as_text, strip
@@ -28,6 +30,12 @@ _PADDED_ISO = rf"^(\d{{4}}-\d{{1,2}}-) ([1-9](?:{_BLANK}+{_CLOCK})?)$"
 _PADDED_MONTH_FIRST = rf"^(1[0-2]|0?[1-9])/ ([1-9])(/(?:\d{{4}}|\d{{2}}){_BLANK}+{_CLOCK})$"
 
 
+def clock(at: datetime) -> Column:
+    """A point in time as a literal; a datetime without a zone is UTC."""
+    at = at.astimezone(timezone.utc) if at.tzinfo else at
+    return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f") + "Z").cast("timestamp")
+
+
 def _plain_iso(text: Column) -> Column:
     """``yyyy-MM-dd`` with or without a clock, the form that needs no rewriting."""
     plain = F.regexp_extract(text, rf"^(?!0000)\d{{4}}-\d\d-\d\d(?: {_CLOCK})?$", 0)
@@ -76,8 +84,8 @@ def parse_timestamp(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     found = _found_date(text)
 
     def at_clock(date: Column, shapes: str) -> Column:
-        clock = F.regexp_extract(text, rf"^(?:{shapes}){_BLANK}+({_CLOCK})$", 1)
-        seconds = F.unix_seconds(F.concat(F.lit("1970-01-01 "), clock, F.lit("Z")).try_cast("timestamp"))
+        time = F.regexp_extract(text, rf"^(?:{shapes}){_BLANK}+({_CLOCK})$", 1)
+        seconds = F.unix_seconds(F.concat(F.lit("1970-01-01 "), time, F.lit("Z")).try_cast("timestamp"))
         midnight = F.unix_date(date).cast("long") * 86400
         return F.timestamp_seconds(midnight + F.coalesce(seconds, F.lit(0)))
 

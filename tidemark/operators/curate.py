@@ -43,14 +43,14 @@ def curate(df: DataFrame, spec: TableSpec) -> DataFrame:
     return _by_position(df).select(*picked)
 
 
-def source_key(df: DataFrame, spec: TableSpec) -> Column:
-    """The key column of a source, under the name the source spells it with."""
-    headers = {c.strip(): c for c in df.columns}
-    folded = {c.strip().lower(): c for c in df.columns}
-    name = headers.get(spec.key.source) or folded.get(spec.key.source.lower())
-    if name is None:
+def keyed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Column, T.DataType]:
+    """The source with columns named by position, its key column and the key's type.
+
+    ``toDF(*df.columns)`` gives the names back; filters in between still reach the scan.
+    """
+    if spec.key.source.lower() not in {c.strip().lower() for c in df.columns}:
         raise ValueError(f"{spec.source_table} has no key column {spec.key.source}")
-    return F.col(f"`{name}`")
+    return _by_position(df), *_resolve(df, spec.key.source)
 
 
 def clean_table(df: DataFrame, spec: TableSpec, payload: bool = False) -> DataFrame:

@@ -5,30 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.text import INTEGRAL
-from tidemark.operators.curate import source_key
+from tidemark.operators.curate import keyed
 from tidemark.specs import TableSpec
 
 # The keys of a chunk are sorted in one task.
 CHUNK_MAX = 5_000_000
 
 
-def _ordered(df: DataFrame, spec: TableSpec) -> tuple[Column, Column | None]:
-    """The key in its comparison type, and a predicate for keys that have no value in it.
+def _ordered(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Column, Column]:
+    """The source by position, the key in its comparison type, and a predicate for keys
+    that have no value in that type.
 
     A numeric key column is compared as it is, so the predicate reaches the source.
     """
-    key = source_key(df, spec)
-    numeric = isinstance(df.select(key).schema[0].dataType, INTEGRAL)
+    rows, key, dtype = keyed(df, spec)
+    numeric = isinstance(dtype, INTEGRAL)
     if spec.key_order == "text":
-        return (key.cast("string") if numeric else key), None
+        return rows, (key.cast("string") if numeric else key), F.lit(False)
     if numeric:
-        return key, None
+        return rows, key, F.lit(False)
     number = F.trim(key.cast("string")).try_cast("long")
-    return number, number.isNull() & key.isNotNull()
+    return rows, number, number.isNull() & key.isNotNull()
 
 
-def bound(spec: TableSpec, value: str) -> Column:
-    return F.lit(int(value)) if spec.key_order == "long" else F.lit(value)
+def _above(key: Column, spec: TableSpec, last: str | None) -> Column:
+    if last is None:
+        return F.lit(True)
+    return key > F.lit(int(last) if spec.key_order == "long" else last)
 
 
 def after(df: DataFrame, spec: TableSpec, last: str | None) -> DataFrame:
@@ -39,9 +42,8 @@ def after(df: DataFrame, spec: TableSpec, last: str | None) -> DataFrame:
     """
     if last is None:
         return df
-    key, unordered = _ordered(df, spec)
-    wanted = key > bound(spec, last)
-    return df.where(wanted if unordered is None else wanted | unordered)
+    rows, key, unordered = _ordered(df, spec)
+    return rows.where(_above(key, spec, last) | unordered).toDF(*df.columns)
 
 
 def chunk(
@@ -55,14 +57,14 @@ def chunk(
     """
     if limit > CHUNK_MAX:
         raise ValueError(f"a chunk has at most {CHUNK_MAX} rows; use a full sync instead")
-    key, unordered = _ordered(df, spec)
-    rows = after(df, spec, last)
-    keys = rows.select(key.alias("k")).where("k IS NOT NULL").orderBy("k").limit(limit)
+    rows, key, unordered = _ordered(df, spec)
+    above = _above(key, spec, last)
+    keys = rows.where(above).select(key.alias("k")).where("k IS NOT NULL").orderBy("k").limit(limit)
     found = keys.agg(F.count("k").alias("n"), F.max("k").alias("end")).first()
     if found.n < limit:
-        return rows, None
-    wanted = key <= F.lit(found.end)
-    return rows.where(wanted if unordered is None else wanted | unordered), str(found.end)
+        return after(df, spec, last), None
+    picked = rows.where((above & (key <= F.lit(found.end))) | unordered)
+    return picked.toDF(*df.columns), str(found.end)
 
 
 def key_value(spec: TableSpec) -> Column:

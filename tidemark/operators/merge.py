@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.functions.dates import clock
 from tidemark.specs import FINGERPRINT_SCHEMA, TableSpec
 
 INSERT, UPDATE, UNCHANGED, DELETE = "insert", "update", "unchanged", "delete"
@@ -55,7 +56,7 @@ def classify(
 
 def stamp(changed: DataFrame, spec: TableSpec, run_ts: datetime) -> DataFrame:
     """Run times of changed rows: a transaction date first, then the stored one, then now."""
-    now = F.lit(run_ts).cast("timestamp")
+    now = clock(run_ts)
     out = changed.withColumn("created_at", F.coalesce("created_at", "old_created_at", now))
     return out.withColumn("updated_at", now) if spec.has_updated_at else out
 
@@ -72,7 +73,7 @@ def upsert_changed(
     key = spec.key.target
     columns = spec.raw_schema.fieldNames()
     old = F.struct(*[F.col(f"t.{c}").alias(c) for c in columns])
-    now = F.lit(run_ts).cast("timestamp")
+    now = clock(run_ts)
     fresh = {c: F.col(f"s.{c}") for c in columns if c != "updated_at"}
     fresh["created_at"] = F.coalesce("s.created_at", "t.created_at", now)
     fresh["raw_id"] = F.coalesce("t.raw_id", "s.raw_id")
@@ -99,7 +100,7 @@ def fingerprint_changes(
 ) -> DataFrame:
     """Fingerprint rows of the seen keys: first time kept, change time moved only when
     the checksum differs. ``seen`` is (entity_id, checksum), one row per key."""
-    now = F.lit(run_ts).cast("timestamp")
+    now = clock(run_ts)
     known = old.where(F.col("table_name") == table).select(
         "entity_id",
         F.col("checksum").alias("_old"),

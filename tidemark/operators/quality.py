@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.dates import clock
 from tidemark.operators.curate import clean_table
 from tidemark.specs import AMOUNT, FAILURE_SCHEMA, FLAG, TableSpec
 
@@ -35,7 +36,7 @@ def dead_letters(df: DataFrame, spec: TableSpec, at: datetime) -> DataFrame:
             "error",
             F.col("_payload").alias("payload"),
             F.lit(0).alias("retry_count"),
-            F.lit(at).cast("timestamp").alias("timestamp"),
+            clock(at).alias("timestamp"),
         )
         .to(FAILURE_SCHEMA)
     )

@@ -6,12 +6,13 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.dates import clock
 from tidemark.specs import TableSpec
 
 
 def is_prunable(spec: TableSpec, as_of: datetime, days: int = 0) -> Column:
     """Processed and older than the retention; false where either side is unknown."""
-    limit = F.lit(as_of - timedelta(days=days)).cast("timestamp")
+    limit = clock(as_of - timedelta(days=days))
     old = F.col("is_processed") & (F.col(spec.prune_clock) < limit)
     return F.coalesce(old, F.lit(False))
 

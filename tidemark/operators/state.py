@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.dates import clock
 from tidemark.specs import CHECKPOINT_SCHEMA, RUN_SCHEMA
 
 RUNNING, SUCCESS, FAILED, INTERRUPTED = "RUNNING", "SUCCESS", "FAILED", "INTERRUPTED"
@@ -17,7 +18,7 @@ def advance_checkpoints(old: DataFrame, new: DataFrame, at: datetime) -> DataFra
     ``new`` is (table_name, last_sync_key, last_reconcile_key, cycle_id, status,
     reset_reconcile); ``reset_reconcile`` starts the rolling re-read from the beginning.
     """
-    now = F.lit(at).cast("timestamp")
+    now = clock(at)
     touched = F.col("n.table_name").isNotNull()
     reconcile = F.when(~F.coalesce("n.reset_reconcile", F.lit(False)),
                        F.coalesce("n.last_reconcile_key", "o.last_reconcile_key"))
@@ -63,7 +64,7 @@ def interrupt_stale_runs(log: DataFrame, at: datetime) -> DataFrame:
     stale = F.col("status") == RUNNING
     return log.withColumns(
         {
-            "end_time": F.when(stale, F.lit(at).cast("timestamp")).otherwise(F.col("end_time")),
+            "end_time": F.when(stale, clock(at)).otherwise(F.col("end_time")),
             "status": F.when(stale, F.lit(INTERRUPTED)).otherwise(F.col("status")),
         }
     )

@@ -11,6 +11,7 @@ from time import monotonic
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from tidemark.functions.dates import clock
 from tidemark.operators import keyset, merge, metrics, quality, retention, state
 from tidemark.operators.curate import clean_table, with_checksum, with_ingestion
 from tidemark.session import new_dir
@@ -270,6 +271,10 @@ class TableSync:
         self._advance(spec)
         return self._result(spec, "full", batch, started)
 
+    def lag(self, spec: TableSpec, source: DataFrame) -> DataFrame:
+        """How far the stored table is behind its source; see ``metrics.lag_alerts``."""
+        return metrics.sync_lag(source, self.target(spec), spec)
+
     def prune(self, spec: TableSpec, days: int = 0) -> int:
         """Take processed rows past their retention out of the target; returns how many."""
         if not self.store.exists(spec.target_table):
@@ -296,7 +301,9 @@ class TableSync:
         self.store.compact(self.fingerprint_table(spec), FINGERPRINT_SCHEMA, "entity_id", **policy)
 
 
-def _isolated(sync: TableSync, spec: TableSpec, mode: str, run: Callable[[], TaskResult]) -> TaskResult:
+def _isolated(
+    sync: TableSync, spec: TableSpec, mode: str, run: Callable[[], TaskResult | None]
+) -> TaskResult | None:
     """A task that fails is reported and does not stop the others."""
     started = monotonic()
     try:
@@ -340,23 +347,25 @@ def sync_cycle(
     """
     store, spark = sync.store, sync.spark
     log = store.read(RUNS, RUN_SCHEMA, "cycle_id")
-    start = spark.createDataFrame([(sync.cycle_id, sync.run_ts)], "cycle_id string, start_time timestamp")
+    start = spark.range(1, numPartitions=1).select(
+        F.lit(sync.cycle_id).alias("cycle_id"), clock(sync.run_ts).alias("start_time")
+    )
     store.replace(RUNS, state.open_runs(log, start).coalesce(1))
     started = monotonic()
     pruned = prune_all(sync, specs, retention_days, workers).where("error IS NOT NULL").count()
 
     def table(spec: TableSpec) -> list[TaskResult]:
-        source = sources[spec.source_table]
+        name = spec.source_table
         if spec.mode == "full":
-            tasks = {"full": lambda: sync.full(spec, source)}
+            steps = {"full": lambda: sync.full(spec, sources[name])}
         else:
-            tasks = {
-                "incremental": lambda: sync.incremental(spec, source),
-                "reconcile": lambda: sync.reconcile(spec, source, chunk_limit),
+            steps = {
+                "incremental": lambda: sync.incremental(spec, sources[name]),
+                "reconcile": lambda: sync.reconcile(spec, sources[name], chunk_limit),
             }
-        done = [_isolated(sync, spec, mode, run) for mode, run in tasks.items()]
-        sync.compact(spec)
-        return done
+        done = [_isolated(sync, spec, mode, run) for mode, run in steps.items()]
+        folded = _isolated(sync, spec, "compact", lambda: sync.compact(spec))
+        return done if folded is None else [*done, folded]
 
     with ThreadPoolExecutor(workers) as pool:
         results = [r for rs in pool.map(table, specs) for r in rs]
@@ -364,7 +373,7 @@ def sync_cycle(
     seconds = monotonic() - started
     total = spark.createDataFrame([(sync.cycle_id, seconds)], "cycle_id string, duration double")
     totals = metrics.cycle_rollup(tasks, total)
-    end = F.lit(sync.run_ts).cast("timestamp") + F.make_dt_interval(secs=F.lit(round(seconds, 3)))
+    end = clock(sync.run_ts) + F.make_dt_interval(secs=F.lit(round(seconds, 3)))
     closing = totals.select(
         "cycle_id",
         end.alias("end_time"),
