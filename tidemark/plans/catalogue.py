@@ -20,7 +20,6 @@ from tidemark.plans.standins import (
     SECOND_RUN,
     SOURCE_SYSTEM,
     STANDINS,
-    cities,
     customers,
     earlier_orders,
     earlier_sources,

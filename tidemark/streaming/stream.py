@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.operators import keyset
 from tidemark.plans.flows import TableSync, TaskResult
@@ -12,7 +10,7 @@ from tidemark.specs import TableSpec
 
 
 def read_stream(
-    spark, path: str, schema: T.StructType, format: str = "parquet", glob: str | None = None,
+    spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet", glob: str | None = None,
     max_files: int | None = None,
 ) -> DataFrame:
     reader = spark.readStream.format(format).schema(schema)
