@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import documents
 
@@ -148,7 +148,7 @@ def pack(
     for n in names[1:5]:
         schema = schema.add(n, "long")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
     return (
         rows.mapInArrow(cut, schema)
         .withColumn("bucket", F.log2("length").cast("int"))

@@ -7,9 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import prepare
+from tidemark.llm.common import crc32_parity, prepare
+from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.language_id import identify, learn
+from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.token_count import token_counts
+from tidemark.session import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +39,21 @@ def op1_packing(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    learned = learn(docs.where(crc32_parity() != 2))
+    return identify(docs, learned).withColumn("held_out", F.coalesce(crc32_parity() == 2, F.lit(False)))
+
+
+@query
+def op8_exact_dedup(spark, sf_dir):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return exact_dedup(load(spark, sf_dir, "documents"), new_dir(spark, "digest-index"), buckets)
+
+
+@query
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join(load(spark, sf_dir, "documents"))
