@@ -12,6 +12,7 @@ from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import identify, learn
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
+from tidemark.llm.secret_scan import secret_digests
 from tidemark.llm.token_count import token_counts
 from tidemark.session import new_dir
 
@@ -57,3 +58,8 @@ def op8_exact_dedup(spark, sf_dir):
 @query
 def op9_ngram_join(spark, sf_dir):
     return ngram_join(load(spark, sf_dir, "documents"))
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    return secret_digests(load(spark, sf_dir, "documents"))
