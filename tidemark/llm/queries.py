@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.common import crc32_parity, prepare
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import identify, learn
+from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.secret_scan import secret_digests
@@ -63,3 +64,11 @@ def op9_ngram_join(spark, sf_dir):
 @query
 def op5_secret_scan(spark, sf_dir):
     return secret_digests(load(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    """doc_id, the text left, its length and how many characters went."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.char_length(F.coalesce("text", F.lit(""))).alias("before"))
+    left = F.char_length(F.coalesce("text", F.lit("")))
+    return line_dedup(docs).select("doc_id", "text", (F.col("before") - left).cast("long").alias("removed_chars"))

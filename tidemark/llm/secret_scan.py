@@ -160,9 +160,9 @@ def joined(found: Column) -> Column:
 
 
 def scan(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, base (array of kind, start, end), found (base and random spans), n_assign, n_access, n_hex.
+    """One row per input row: doc_id, text_hash, base (array of kind, start, end), found (base and random), n_assign, n_access, n_hex.
 
-    kind is the position in KINDS; start and end are code points, end exclusive; arrays are ordered by start, then kind.
+    text_hash is xxhash64 of the text, to tell rows with one id apart; kind is the position in KINDS; start and end are code points, end exclusive; arrays are ordered by start, then kind.
     Random spans that touch a base span are left out. Null and empty texts have no spans; null ids stay null; repeated
     rows are each scanned; an empty table gives no rows; further columns are not read. Texts are read once, in one
     narrow stage; after that only spans and tokens move. Within a text the spans are walked in order, so one text with
@@ -171,7 +171,7 @@ def scan(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     text = F.col("text")
     rows = documents(docs, id_col, text_col)
     raw = rows.select(
-        "doc_id", F.filter(spans(text, ASSIGN), lambda s: F.char_length(s["value"]) >= 8).alias("assign"),
+        "doc_id", F.xxhash64(text).alias("text_hash"), F.filter(spans(text, ASSIGN), lambda s: F.char_length(s["value"]) >= 8).alias("assign"),
         spans(text, ACCESS).alias("access"), spans(text, HEX).alias("hex"), spans(text, TOKEN).alias("tokens"),
     )
 
@@ -181,7 +181,7 @@ def scan(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
 
     base = F.array_sort(F.concat(tagged("assign"), tagged("access"), tagged("hex")))
     found = stage(raw.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", base.alias("base"), "tokens",
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash", base.alias("base"), "tokens",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
     ), "spans")
     free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
@@ -195,7 +195,7 @@ def scan(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     )
     every = F.when(F.col("random").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "random")))
     return found.drop("tokens").join(flagged, "row", "left").select(
-        "doc_id", "base", every.alias("found"), "n_assign", "n_access", "n_hex"
+        "doc_id", "text_hash", "base", every.alias("found"), "n_assign", "n_access", "n_hex"
     )
 
 
