@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import crc32_parity, prepare
+from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import identify, learn
 from tidemark.llm.line_dedup import line_dedup
@@ -72,3 +73,8 @@ def op4_line_dedup(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.char_length(F.coalesce("text", F.lit(""))).alias("before"))
     left = F.char_length(F.coalesce("text", F.lit("")))
     return line_dedup(docs).select("doc_id", "text", (F.col("before") - left).cast("long").alias("removed_chars"))
+
+
+@query
+def op7_embedding_dedup(spark, sf_dir):
+    return embedding_dedup(load(spark, sf_dir, "embeddings"))
