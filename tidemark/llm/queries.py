@@ -11,9 +11,11 @@ from tidemark.llm.common import crc32_parity, prepare
 from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import identify, learn
+from tidemark.llm.lattice_sampling import encode
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_scan import secret_digests
 from tidemark.llm.token_count import token_counts
 from tidemark.session import new_dir
@@ -78,3 +80,17 @@ def op4_line_dedup(spark, sf_dir):
 @query
 def op7_embedding_dedup(spark, sf_dir):
     return embedding_dedup(load(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_quality(spark, sf_dir):
+    """The source of a document stands for its host, source and language for its path."""
+    docs = load(spark, sf_dir, "documents")
+    path = F.concat_ws("/", docs["source"], docs["lang"])
+    return quality_scores(docs, load(spark, sf_dir, "labels"), docs["source"], path)
+
+
+@query
+def op6_lattice_sampling(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encode(load(spark, sf_dir, "documents"), model, k=2, sharpness=0.5, with_ids=False)
