@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.common import documents
 
 END_ID = 1
-CACHE_WORDS = 400_000  # distinct words, and distinct parts of words, a worker remembers
+CACHE_WORDS = 1_000_000  # distinct words, and distinct parts of words, a worker remembers
 CACHE_CHARS = 40
 # The tokenizer's own pattern, narrowed to printable ASCII and Latin-1 letters.
 PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
