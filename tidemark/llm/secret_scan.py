@@ -1,7 +1,7 @@
 """Secret scan in DataFrame functions: known shapes, and tokens that pass a battery of randomness tests.
 
 The battery takes every longer token of digits and letters, infers its alphabet, and tests the symbols for uniformity
-(chi-squared), for runs about the middle of the alphabet and for serial correlation. A token counts as written by
+(chi-squared, over equal bins and over classes of characters), for runs about the middle of the alphabet and for serial correlation. A token counts as written by
 people when randomness is rejected; within each stratum of alphabet and length the rejections are chosen by
 Benjamini-Hochberg, so that at most a share ``q`` of them are secrets. All other tokens are flagged.
 """
@@ -73,17 +73,32 @@ def two_sided(z: Column) -> Column:
     return 2 * upper_tail(F.abs(z))
 
 
+def chi_tail(chi: Column, df: Column) -> Column:
+    """Upper tail of chi-squared through its cube root (Wilson, Hilferty)."""
+    z = (F.pow(chi / df, F.lit(1 / 3)) - 1 + 2 / (9 * df)) / F.sqrt(2 / (9 * df))
+    return F.when(z >= 0, upper_tail(z)).otherwise(1 - upper_tail(-z))
+
+
 def p_uniform(codes: Column, n: Column, size: Column, per_bin: int) -> Column:
-    """Chi-squared test of the symbols over equal bins of the alphabet, through the cube root (Wilson, Hilferty)."""
+    """Chi-squared test of the symbols over equal bins of the alphabet."""
     bins = F.greatest(F.lit(2), F.least(size, F.floor(n / per_bin).cast("int")))
     expected = n / bins
     counts = F.transform(
         F.sequence(F.lit(0), bins - 1), lambda b: F.size(F.filter(codes, lambda x: F.floor(x * bins / size) == b))
     )
     chi = F.aggregate(counts, F.lit(0.0), lambda s, c: s + (c - expected) * (c - expected) / expected)
-    df = bins - 1
-    z = (F.pow(chi / df, F.lit(1 / 3)) - 1 + 2 / (9 * df)) / F.sqrt(2 / (9 * df))
-    return F.when(z >= 0, upper_tail(z)).otherwise(1 - upper_tail(-z))
+    return chi_tail(chi, bins - 1)
+
+
+def p_classes(token: Column, alphabet: Column, n: Column, size: Column) -> Column:
+    """Chi-squared test of digits, small letters, capitals and marks, each as often as the alphabet has them."""
+    chi, classes = F.lit(0.0), F.lit(0)
+    for others in ("[^0-9]", "[^a-z]", "[^A-Z]", "[0-9A-Za-z]"):
+        share = F.char_length(F.regexp_replace(alphabet, others, "")) / size
+        seen, expected = F.char_length(F.regexp_replace(token, others, "")), n * share
+        chi += F.when(share > 0, (seen - expected) * (seen - expected) / expected).otherwise(0.0)
+        classes += (share > 0).cast("int")
+    return F.when(classes < 2, F.lit(1.0)).otherwise(chi_tail(chi, classes - 1))
 
 
 def p_runs(codes: Column, n: Column, size: Column) -> Column:
@@ -129,8 +144,11 @@ def battery(tokens: DataFrame, settings: Settings) -> DataFrame:
     out = out.withColumn("codes", F.transform(F.split(token, "", -1), lambda c: F.instr(F.col("alphabet"), c) - 1))
     out = out.withColumn("codes", F.slice(codes, F.lit(1), n))
     out = out.withColumn("mean", F.aggregate(codes, F.lit(0.0), lambda s, x: s + x) / n)
-    p = F.least(p_uniform(codes, n, size, settings.per_bin), p_runs(codes, n, size), p_serial(codes, n, F.col("mean")))
-    out = out.withColumn("p", F.least(F.lit(1.0), 3 * p))
+    p = F.least(
+        p_uniform(codes, n, size, settings.per_bin), p_classes(token, F.col("alphabet"), n, size),
+        p_runs(codes, n, size), p_serial(codes, n, F.col("mean")),
+    )
+    out = out.withColumn("p", F.least(F.lit(1.0), 4 * p))
     depth = F.when(F.col("p") <= 0, F.lit(DEEPEST)).otherwise(F.least(F.lit(DEEPEST), F.floor(-F.log2("p") * STEPS).cast("int")))
     return out.withColumns({"stratum": F.col("kind") * 64 + F.floor(F.log2(n)).cast("int"), "depth": depth}).drop(
         "token", "n", "alphabet", "kind", "size", "codes", "mean", "p"
