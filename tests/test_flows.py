@@ -308,16 +308,94 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, store):
     assert sum(b.scanned for b in old) == 0
 
 
-def test_large_and_small_batches_merge_alike(spark, store, monkeypatch):
-    import tidemark.plans.flows as flows
-
+def test_large_and_small_batches_merge_alike(spark, store):
+    """Whether a side is broadcast is for measured sizes to say; the results are the same."""
     other = TableStore(spark, new_dir(spark, "store"))
     old, new = bills(spark, range(30)), bills(spark, range(10, 50), amount=lambda k: str(k // 2))
     results = []
-    for s, limit in ((store, 1 << 30), (other, -1)):
-        monkeypatch.setattr(flows, "BROADCAST_BYTES", limit)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for s, limit in ((store, before), (other, "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         at(s).full(SALES, old)
         results.append(counts(at(s, DAY2).full(SALES, new)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert results[0] == results[1]
     assert sorted(map(tuple, at(store).target(SALES).collect())) == sorted(map(tuple, at(other).target(SALES).collect()))
     assert sorted(map(tuple, at(store).fingerprints(SALES).collect())) == sorted(map(tuple, at(other).fingerprints(SALES).collect()))
+
+
+def test_failed_merge_leaves_no_fingerprints_behind(spark, store, monkeypatch):
+    """With skip_known a rerun after a failed write finds all rows still to be done."""
+    def fails(*args):
+        raise OSError("target is away")
+
+    sync = TableSync(store, "BILLING", DAY1, skip_known=True)
+    monkeypatch.setattr(sync, "_merge", fails)
+    with pytest.raises(OSError):
+        sync.full(SALES, bills(spark, range(8)))
+    again = TableSync(store, "BILLING", DAY2, skip_known=True).full(SALES, bills(spark, range(8)))
+    assert (again.inserted, again.superseded, again.known) == (8, 0, 0)
+    third = TableSync(store, "BILLING", DAY3, skip_known=True).full(SALES, bills(spark, range(9)))
+    assert (third.inserted, third.superseded, third.known) == (1, 0, 8)
+    assert len(rows(at(store), SALES)) == 9
+
+
+def test_tables_with_rejects_side_by_side(spark, store):
+    specs = [replace(SALES, source_table=f"T{k}", target_table=f"raw_t{k}") for k in range(5)]
+    source = spark.createDataFrame([("null", "5"), ("1", "6")], "Bill_ID string, NET_AMOUNT string")
+    sync = TableSync(store, "BILLING", DAY1, "c")
+    done = sync_cycle(sync, {s.source_table: source for s in specs}, specs, workers=5).collect()
+    assert all(r.error is None for r in done)
+    assert sorted(r.source_table for r in sync.failures().collect()) == sorted(s.source_table for s in specs)
+
+
+def test_rejects_delivered_twice_are_kept_once(spark, store):
+    source = spark.createDataFrame([("null", "5"), (None, "6"), ("1", "6")], "Bill_ID string, NET_AMOUNT string")
+    for day in (DAY1, DAY2):
+        at(store, day).full(SALES, source)
+    assert at(store).failures().count() == 2
+
+
+def test_a_run_that_throws_is_closed(spark, store, monkeypatch):
+    import tidemark.plans.flows as flows
+
+    def fails(*args):
+        raise OSError("no workers")
+
+    monkeypatch.setattr(flows, "_run_tasks", fails)
+    with pytest.raises(OSError):
+        sync_cycle(TableSync(store, "BILLING", DAY1, "c1"), {}, [])
+    assert [(r.cycle_id, r.status) for r in store.read("sync_runs", flows.RUN_SCHEMA).collect()] == [("c1", "FAILED")]
+
+
+def test_idle_runs_write_no_layers(spark, store):
+    at(store).full(SALES, bills(spark, range(5)))
+    before = store.layers(SALES.target_table)
+    at(store, DAY2).full(SALES, bills(spark, range(5)))
+    at(store, DAY2).prune(SALES)
+    assert store.layers(SALES.target_table) == before
+
+
+def test_chunk_ends_for_all_kinds_of_keys(spark):
+    ids = random.Random(6).sample(range(-10**12, 10**12), 700)
+    frames = {
+        "long": spark.createDataFrame([(k,) for k in ids], "Bill_ID long"),
+        "decimal(20,0)": spark.createDataFrame([(k,) for k in ids], "Bill_ID long").selectExpr("CAST(Bill_ID AS decimal(20,0)) AS Bill_ID"),
+        "string": spark.createDataFrame([(str(k),) for k in ids], "Bill_ID string"),
+    }
+    for df in frames.values():
+        picked, end = keyset.chunk(df, SALES, None, 123)
+        assert end == str(sorted(ids)[122]) and picked.count() == 123
+        assert keyset.chunk(df, SALES, None, 701)[1] is None
+    text = replace(SALES, key_order="text")
+    picked, end = keyset.chunk(frames["string"], text, None, 250)
+    assert end == sorted(map(str, ids))[249] and picked.count() == 250
+
+
+def test_decimal_keys_reach_the_source_and_doubles_are_refused(spark):
+    path = new_dir(spark, "decimals")
+    spark.range(100).selectExpr("CAST(id AS decimal(20,0)) AS Bill_ID").write.parquet(path)
+    plan = keyset.after(spark.read.parquet(path), SALES, "50")._jdf.queryExecution().toString()
+    assert "GreaterThan(Bill_ID,50)" in plan
+    with pytest.raises(ValueError, match="floating-point"):
+        keyset.after(spark.range(3).selectExpr("CAST(id AS double) AS Bill_ID"), SALES, "1")

@@ -16,7 +16,8 @@ from tidemark.functions.text import WHITESPACE, as_text, strip
 # separates day-first dates; two-digit years below 69 are 20xx, the rest 19xx.
 DATE_PATTERN = r"\d{1,2}[/.-]\d{1,2}[/.-]\d{2,4}|(?!0000)\d{4}-\d{1,2}-\d{1,2}"
 CENTURIES = {"20": r"[0-5]\d|6[0-8]", "19": r"69|[7-9]\d"}
-BINARY_DATE = r"^(?:(?:19|20)\d\d|2100)-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01]) .*$"
+# Years, months and days of a binary timestamp.
+BINARY_RANGES = ((1900, 2100), (1, 12), (1, 31))
 
 TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -139,7 +140,10 @@ def _decode_hex(digits: Column) -> Column:
         for i in range(1, 25, 4)
     ]
     shown = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", *fields)
-    return F.when(F.length(digits) == 32, F.nullif(F.regexp_extract(shown, BINARY_DATE, 0), F.lit("")))
+    in_range = F.length(digits) == 32
+    for field, (low, high) in zip(fields, BINARY_RANGES):
+        in_range &= field.between(low, high)
+    return F.when(in_range, shown)
 
 
 def decode_binary_timestamp(c: Column, dtype: T.DataType = T.BinaryType()) -> Column:

@@ -24,28 +24,17 @@ def dedupe_last(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataF
     return df.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
 
 
-def matching(table: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
-    """The rows of a large table that can match a batch.
+def classify(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Source rows (one per key) with ``change_type`` and ``old_created_at`` of the target.
 
-    ``keys`` are the batch keys where these are known to fit a broadcast. The table is then
-    only filtered by them, and what is left, at most one row per batch key, is broadcast to
-    the batch: neither step shuffles the table.
+    The join carries no hint: adaptive execution broadcasts a side whose measured size allows it.
     """
-    if keys is None:
-        return table
-    return F.broadcast(table.join(F.broadcast(keys), key, "left_semi"))
-
-
-def classify(
-    source: DataFrame, target: DataFrame, key: str, small_keys: DataFrame | None = None
-) -> DataFrame:
-    """Source rows (one per key) with ``change_type`` and ``old_created_at`` of the target."""
     known = target.select(
         F.col(key),
         F.col("checksum").alias("_old_checksum"),
         F.col("created_at").alias("old_created_at"),
     )
-    joined = source.join(matching(known, key, small_keys), key, "left")
+    joined = source.join(known, key, "left")
     kind = (
         F.when(F.col("_old_checksum").isNull(), INSERT)
         .when(F.col("_old_checksum") != F.col("checksum"), UPDATE)
@@ -91,13 +80,7 @@ def upsert_changed(
     return merged.select("change_type", row.alias("r")).select("r.*", "change_type")
 
 
-def fingerprint_changes(
-    old: DataFrame,
-    seen: DataFrame,
-    table: str,
-    run_ts: datetime,
-    small_keys: DataFrame | None = None,
-) -> DataFrame:
+def fingerprint_changes(old: DataFrame, seen: DataFrame, table: str, run_ts: datetime) -> DataFrame:
     """Fingerprint rows of the seen keys: first time kept, change time moved only when
     the checksum differs. ``seen`` is (entity_id, checksum), one row per key."""
     now = clock(run_ts)
@@ -109,7 +92,7 @@ def fingerprint_changes(
     )
     same = F.col("_old") == F.col("checksum")
     return (
-        seen.join(matching(known, "entity_id", small_keys), "entity_id", "left")
+        seen.join(known, "entity_id", "left")
         .select(
             F.lit(table).alias("table_name"),
             "entity_id",
@@ -125,10 +108,19 @@ def fingerprint_changes(
 def upsert_fingerprints(
     old: DataFrame, seen: DataFrame, table: str, run_ts: datetime
 ) -> DataFrame:
-    """The whole fingerprint table after a batch."""
-    new = fingerprint_changes(old, seen, table, run_ts).drop("change_type")
-    rest = old.join(new.select("table_name", "entity_id"), ["table_name", "entity_id"], "left_anti")
-    return rest.unionByName(new).to(FINGERPRINT_SCHEMA)
+    """The whole fingerprint table after a batch: one join, each side moved once."""
+    now = clock(run_ts)
+    new = seen.select(F.lit(table).alias("table_name"), "entity_id", F.col("checksum").alias("_new"))
+    joined = old.join(new, ["table_name", "entity_id"], "full")
+    found, same = F.col("_new").isNotNull(), F.col("_new").eqNullSafe(F.col("checksum"))
+    return joined.select(
+        "table_name",
+        "entity_id",
+        F.coalesce("_new", "checksum").alias("checksum"),
+        F.coalesce("first_seen_at", now).alias("first_seen_at"),
+        F.when(found, now).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+        F.when(~found | same, F.col("last_changed_at")).otherwise(now).alias("last_changed_at"),
+    ).to(FINGERPRINT_SCHEMA)
 
 
 def fingerprint_delta(rows: DataFrame, fingerprints: DataFrame, table: str, key: str) -> DataFrame:

@@ -583,7 +583,7 @@ def late_rows(spark, sf_dir):
     second = TableSync(store, SOURCE_SYSTEM, SECOND_RUN)
     second.incremental(SALES, orders)
     after_sync = second.target(SALES).select("bill_id", F.lit("incremental").alias("found_by"))
-    second.reconcile(SALES, orders, keyset.CHUNK_MAX)
+    second.reconcile(SALES, orders, orders.count() + 1)
     rows = second.target(SALES).select("bill_id").join(after_sync, "bill_id", "left")
     return rows.withColumn("found_by", F.coalesce("found_by", F.lit("reconcile")))
 

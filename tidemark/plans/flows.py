@@ -27,10 +27,6 @@ from tidemark.specs import (
 
 CHECKPOINTS, FAILURES, RUNS = "sync_checkpoints", "sync_failures", "sync_runs"
 
-# Staged batches up to this size on disk are small enough to send their keys to every
-# executor: the keys are a few columns of it.
-BROADCAST_BYTES = 8 << 20
-
 # Fixed value: rows re-read per reconcile run.
 CHUNK_LIMIT = 5000
 
@@ -48,6 +44,7 @@ class TaskResult:
     errors: int = 0
     duration: float = 0.0
     error: str | None = None
+    known: int = 0
 
     @property
     def upserted(self) -> int:
@@ -63,10 +60,11 @@ class Batch:
     inserted: int = 0
     updated: int = 0
     unchanged: int = 0
+    known: int = 0  # passed over by ``skip_known``
 
     @property
     def superseded(self) -> int:
-        return self.good - self.inserted - self.updated - self.unchanged
+        return self.good - self.inserted - self.updated - self.unchanged - self.known
 
 
 class TableSync:
@@ -98,8 +96,24 @@ class TableSync:
     def fingerprints(self, spec: TableSpec) -> DataFrame:
         return self.store.read(self.fingerprint_table(spec), FINGERPRINT_SCHEMA, "entity_id")
 
+    def failure_table(self, spec: TableSpec) -> str:
+        """Rejects of each table lie apart, so that tables synchronised side by side don't meet."""
+        return f"{FAILURES}/{spec.target_table}"
+
     def failures(self) -> DataFrame:
-        return self.store.read(FAILURES, FAILURE_SCHEMA)
+        out = self.spark.createDataFrame([], FAILURE_SCHEMA)
+        for table in self.store.tables(FAILURES):
+            out = out.unionByName(self.store.read(f"{FAILURES}/{table}", FAILURE_SCHEMA))
+        return out
+
+    def _set_aside(self, spec: TableSpec, rows: DataFrame) -> None:
+        """Append the rejects of a batch that are not in the dead-letter table yet."""
+        same = ["source_table", "primary_key", "error", "payload"]
+        known = self.store.read(self.failure_table(spec), FAILURE_SCHEMA).select(*[F.col(c).alias(f"_{c}") for c in same])
+        found = quality.dead_letters(rows, spec, self.run_ts)
+        match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same]
+        condition = match[0] & match[1] & match[2] & match[3]
+        self.store.append(self.failure_table(spec), found.join(known, condition, "left_anti"))
 
     def checkpoints(self, spec: TableSpec) -> DataFrame:
         return self.store.read(f"{CHECKPOINTS}/{spec.target_table}", CHECKPOINT_SCHEMA)
@@ -141,8 +155,9 @@ class TableSync:
         1. one narrow pass writes the mapped rows to shared storage and counts them;
         2. rejects, if that pass saw any, go to the dead-letter table;
         3. the last row of each key is compared with key and checksum of the target and
-           only new and changed rows are written; side by side with that
-        4. the fingerprints of all seen keys are written.
+           only new and changed rows are written; once they are there
+        4. the fingerprints of all seen keys are written, so that a fingerprint never
+           stands for a row that the target has not got.
         """
         key = spec.key.target
         scan, identified = Observation(), Observation()
@@ -160,47 +175,36 @@ class TableSync:
         mapped = with_ingestion(good, spec, self.source_system, exact=False)
         mapped = mapped.observe(identified, F.count_if(F.col("checksum").isNull()).alias("odd"))
         path = new_dir(self.spark, f"stage-{spec.target_table}")
-        staged, size = self.store.stage(mapped, f"{path}/plain")
-        seen = scan.get
-        max_key = None if seen["max_key"] is None else str(seen["max_key"])
-        batch = Batch(seen["scanned"], seen["rejected"], seen["scanned"] - seen["rejected"], max_key)
-        if batch.rejected:
-            self.store.append(FAILURES, quality.dead_letters(rows, spec, self.run_ts))
-        if batch.good:
-            if identified.get["odd"]:
-                odd = staged.where("checksum IS NULL").drop("checksum")
-                exact, more = self.store.stage(with_checksum(odd, spec), f"{path}/exact")
-                staged = staged.where("checksum IS NOT NULL").unionByName(exact)
-                size += more
-            small = size <= BROADCAST_BYTES
-            within = F.col(key).between(seen["low"], seen["high"])
-            # Both tables as they are now: the steps below add layers while they run.
-            target, known = self.target(spec), self.fingerprints(spec)
-            with ThreadPoolExecutor(2) as pool:
-                steps = [
-                    pool.submit(self._merge, spec, staged, target.where(within), known, small, batch),
-                    pool.submit(self._remember, spec, staged, known, small, within),
-                ]
-                for step in steps:
-                    step.result()
-        self.store.drop(path)
+        try:
+            staged = self.store.stage(mapped, f"{path}/plain")
+            seen = scan.get
+            max_key = None if seen["max_key"] is None else str(seen["max_key"])
+            batch = Batch(seen["scanned"], seen["rejected"], seen["scanned"] - seen["rejected"], max_key)
+            if batch.rejected:
+                self._set_aside(spec, rows)
+            if batch.good:
+                if identified.get["odd"]:
+                    odd = staged.where("checksum IS NULL").drop("checksum")
+                    exact = self.store.stage(with_checksum(odd, spec), f"{path}/exact")
+                    staged = staged.where("checksum IS NOT NULL").unionByName(exact)
+                within = F.col(key).between(seen["low"], seen["high"])
+                # Fingerprints as they were before this batch.
+                target, known = self.target(spec), self.fingerprints(spec)
+                self._merge(spec, staged, target.where(within), known, batch)
+                self._remember(spec, staged, known, within)
+        finally:
+            self.store.drop(path)
         return batch
 
     def _merge(
-        self,
-        spec: TableSpec,
-        staged: DataFrame,
-        target: DataFrame,
-        known: DataFrame,
-        small: bool,
-        batch: Batch,
+        self, spec: TableSpec, staged: DataFrame, target: DataFrame, known: DataFrame, batch: Batch
     ) -> None:
-        key, merged = spec.key.target, Observation()
+        key, merged, before = spec.key.target, Observation(), Observation()
         latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
         if self.skip_known:
+            latest = latest.observe(before, F.count(F.lit(1)).alias("rows"))
             latest = merge.fingerprint_delta(latest, known, spec.source_table, key)
-        keys = staged.select(key) if small else None
-        kinds = merge.classify(latest, target, key, keys).observe(
+        kinds = merge.classify(latest, target, key).observe(
             merged,
             *[
                 F.count_if(F.col("change_type") == k).alias(k)
@@ -215,17 +219,18 @@ class TableSync:
         batch.inserted = counts[merge.INSERT]
         batch.updated = counts[merge.UPDATE]
         batch.unchanged = counts[merge.UNCHANGED]
+        if self.skip_known:
+            batch.known = before.get["rows"] - batch.inserted - batch.updated - batch.unchanged
 
     def _remember(
-        self, spec: TableSpec, staged: DataFrame, known: DataFrame, small: bool, within: Column
+        self, spec: TableSpec, staged: DataFrame, known: DataFrame, within: Column
     ) -> None:
         key = spec.key.target
         narrow = merge.dedupe_last(staged.select(key, "checksum", "_seq"), key, ["_seq", "checksum"])
         latest = narrow.select(F.col(key).alias("entity_id"), "checksum")
         old = known.withColumnRenamed("entity_id", key).where(within)
         old = old.withColumnRenamed(key, "entity_id")
-        keys = staged.select(F.col(key).alias("entity_id")) if small else None
-        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts, keys)
+        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts)
         self.store.change(self.fingerprint_table(spec), changes)
 
     # -- flows -------------------------------------------------------------------------
@@ -240,6 +245,7 @@ class TableSync:
             updated=batch.updated,
             unchanged=batch.unchanged,
             superseded=batch.superseded,
+            known=batch.known,
             errors=batch.rejected,
             duration=round(monotonic() - started, 3),
         )
@@ -346,12 +352,30 @@ def sync_cycle(
     results; the run log holds their totals.
     """
     store, spark = sync.store, sync.spark
-    log = store.read(RUNS, RUN_SCHEMA, "cycle_id")
+    log = state.interrupt_stale_runs(store.read(RUNS, RUN_SCHEMA, "cycle_id"), sync.run_ts)
     start = spark.range(1, numPartitions=1).select(
         F.lit(sync.cycle_id).alias("cycle_id"), clock(sync.run_ts).alias("start_time")
     )
     store.replace(RUNS, state.open_runs(log, start).coalesce(1))
     started = monotonic()
+    try:
+        tasks, pruned = _run_tasks(sync, sources, specs, retention_days, chunk_limit, workers)
+    except BaseException:
+        _close_run(sync, monotonic() - started, None, True)
+        raise
+    _close_run(sync, monotonic() - started, tasks, pruned > 0)
+    return tasks
+
+
+def _run_tasks(
+    sync: TableSync,
+    sources: Mapping[str, DataFrame],
+    specs: list[TableSpec],
+    retention_days: int,
+    chunk_limit: int,
+    workers: int,
+) -> tuple[DataFrame, int]:
+    """All tasks of a cycle, and how many tables could not be pruned."""
     pruned = prune_all(sync, specs, retention_days, workers).where("error IS NOT NULL").count()
 
     def table(spec: TableSpec) -> list[TaskResult]:
@@ -369,10 +393,22 @@ def sync_cycle(
 
     with ThreadPoolExecutor(workers) as pool:
         results = [r for rs in pool.map(table, specs) for r in rs]
-    tasks = spark.createDataFrame([tuple(asdict(r).values()) for r in results], TASK_SCHEMA)
-    seconds = monotonic() - started
+    rows = [tuple(asdict(r)[c] for c in TASK_SCHEMA.fieldNames()) for r in results]
+    return sync.spark.createDataFrame(rows, TASK_SCHEMA), pruned
+
+
+def _close_run(sync: TableSync, seconds: float, tasks: DataFrame | None, failed: bool) -> None:
+    """End of the run in the log, with the totals of its tasks where it got that far."""
+    store, spark = sync.store, sync.spark
     total = spark.createDataFrame([(sync.cycle_id, seconds)], "cycle_id string, duration double")
-    totals = metrics.cycle_rollup(tasks, total)
+    if tasks is None:
+        none = F.lit(0).cast("long")
+        totals = total.select(
+            "cycle_id", F.col("duration").alias("duration_sec"), none.alias("rows_scanned"),
+            none.alias("rows_updated"), none.alias("rows_failed"), F.lit(state.FAILED).alias("status"),
+        )
+    else:
+        totals = metrics.cycle_rollup(tasks, total)
     end = clock(sync.run_ts) + F.make_dt_interval(secs=F.lit(round(seconds, 3)))
     closing = totals.select(
         "cycle_id",
@@ -381,8 +417,7 @@ def sync_cycle(
         "rows_scanned",
         "rows_updated",
         "rows_failed",
-        F.when(F.lit(pruned > 0), state.FAILED).otherwise(F.col("status")).alias("status"),
+        F.when(F.lit(failed), state.FAILED).otherwise(F.col("status")).alias("status"),
     )
     log = store.read(RUNS, RUN_SCHEMA, "cycle_id")
     store.replace(RUNS, state.close_runs(log, closing).coalesce(1))
-    return tasks

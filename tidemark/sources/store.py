@@ -99,11 +99,16 @@ class TableStore:
         """Add rows to a table without keys."""
         self.change(table, df.withColumn("change_type", F.lit(INSERT)))
 
+    def tables(self, folder: str) -> list[str]:
+        return sorted(self._children(self._path(folder)))
+
     def change(self, table: str, df: DataFrame) -> str:
         """Write a change layer and return its path: full rows with ``change_type`` insert
-        or update; of deleted rows only the key is needed."""
+        or update; of deleted rows only the key is needed. A layer without rows is taken away."""
         path = self._path(table, "delta", f"v={self._next(table)}")
         df.write.partitionBy("change_type").parquet(path)
+        if not any(c.startswith("change_type=") for c in self._children(path)):
+            self.drop(path)
         return path
 
     def count_layer(self, path: str) -> int:
@@ -153,13 +158,13 @@ class TableStore:
 
     # -- staging -----------------------------------------------------------------------
 
-    def stage(self, df: DataFrame, path: str) -> tuple[DataFrame, int]:
-        """Write ``df`` to shared storage and return it read back with its size in bytes.
+    def stage(self, df: DataFrame, path: str) -> DataFrame:
+        """Write ``df`` to shared storage and return it read back.
 
         The written table cuts the lineage: losing an executor later repeats no cleaning.
         """
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), self.size(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, path: str) -> None:
         fs, p = self._hadoop(path)
