@@ -78,7 +78,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     masked = F.aggregate("found", start, step, lambda d: F.concat(d["out"], F.substr("text", d["at"] + 1, F.char_length("text"))))
     text = F.when(F.col("found").isNull(), F.col("text")).otherwise(masked)
-    return with_size(rows.withColumn("text", text)).select(*docs.columns)
+    done = with_size(rows.withColumn("text", text))
+    return done.select(*[column(done, c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
