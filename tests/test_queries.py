@@ -5,16 +5,13 @@ import pytest
 import __spark_entry__ as e
 from check_queries import compare, engine
 
-# The longest flows have tests of their own in test_flows.py; check_queries.py runs them all.
-LONG = {"sync_cycle", "reconcile_chunk", "full_sync", "late_rows", "incremental_sync", "stream_sync", "prune_all"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return engine(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(set(e.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(e.queries()))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, name, e.queries()[name], e.oracle_sql().get(name), sf_dir) is None
 

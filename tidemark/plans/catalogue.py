@@ -153,26 +153,43 @@ def table_probe_query(spark, sf_dir):
     return probes[0].unionByName(probes[1]).unionByName(probes[2]).unionByName(probes[3])
 
 
+def customer_files(spark: SparkSession, sf_dir: str, changed: bool = False) -> str:
+    """A folder of text files, one per nation, with a line for each of its customers in key order.
+
+    With ``changed`` nation 3 has gone, nation 4 has customers of nation 3 as well, and rich customers
+    of nation 5 have another segment.
+    """
+    rows = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+    if changed:
+        moved = (F.col("c_nationkey") == 5) & (F.col("c_acctbal") > 5000)
+        rows = rows.withColumn("c_mktsegment", F.when(moved, "VISITED").otherwise(F.col("c_mktsegment")))
+        rows = rows.withColumn("c_nationkey", F.when(F.col("c_nationkey") == 3, 4).otherwise(F.col("c_nationkey")))
+    path = new_dir(spark, "customer-files")
+    lines = rows.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    lines = lines.select("c_nationkey", F.concat_ws("|", "c_custkey", "c_name", "c_mktsegment").alias("value"))
+    lines.write.partitionBy("c_nationkey").text(path)
+    return path
+
+
+NATION_OF_FILE = "c_nationkey=([0-9]+)/[^/]+$"
+
+
 @query
 def source_snapshot_query(spark, sf_dir):
-    snap = source_snapshot(spark, sf_dir, "*.parquet")
-    return snap.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "size", F.length("sha256").alias("hash_chars"))
+    snap = source_snapshot(spark, customer_files(spark, sf_dir), "*.txt")
+    return snap.select(F.regexp_extract("path", NATION_OF_FILE, 1).cast("int").alias("nation"), "size", "sha256")
 
 
 @query
 def source_changes_query(spark, sf_dir):
-    """The files against a snapshot in which some were missing, shorter, or other."""
-    now = source_snapshot(spark, sf_dir, "*.parquet")
-    name = F.regexp_extract("path", "[^/]+$", 0)
-    before = now.where(name != "orders.parquet").withColumns(
-        {
-            "size": F.when(name == "events.parquet", F.col("size") - 1).otherwise(F.col("size")),
-            "sha256": F.when(name == "events.parquet", F.sha2("path", 256)).otherwise(F.col("sha256")),
-            "path": F.when(name == "region.parquet", F.concat("path", F.lit(".gone"))).otherwise(F.col("path")),
-        }
-    )
-    changes = source_changes(before, now)
-    return changes.withColumn("path", F.regexp_extract("path", "[^/]+$", 0)).withColumnRenamed("path", "file")
+    """Customer files against an earlier state in which some were absent, others different."""
+    def snap(changed: bool) -> DataFrame:
+        found = source_snapshot(spark, customer_files(spark, sf_dir, changed), "*.txt")
+        # Both folders were written by this run: times of writing tell nothing.
+        return found.withColumns({"path": F.regexp_extract("path", NATION_OF_FILE, 1), "mtime": F.lit(None).cast("timestamp")})
+
+    changes = source_changes(snap(False), snap(True))
+    return changes.select(F.col("path").cast("int").alias("nation"), "status", "hash_changed", "size_changed", "is_empty")
 
 
 # -- cleansing -------------------------------------------------------------------------

@@ -244,7 +244,22 @@ def documents_json() -> str:
     return f"""'{{"lang":"' || upper(lang) || '","text":' || {escaped} || '}}'"""
 
 
+def files(nation: str, segment: str) -> str:
+    """Size and hash of the text file of each nation."""
+    return f"""(SELECT {nation} AS nation, CAST(sum(strlen(concat_ws('|', c_custkey, c_name, {segment})) + 1) AS BIGINT) AS size,
+ sha256(string_agg(concat_ws('|', c_custkey, c_name, {segment}) || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM customer GROUP BY 1)"""
+
+
+FILES = files("c_nationkey", "c_mktsegment")
+LATER_FILES = files("CASE WHEN c_nationkey = 3 THEN 4 ELSE c_nationkey END",
+                    "CASE WHEN c_nationkey = 5 AND c_acctbal > 5000 THEN 'VISITED' ELSE c_mktsegment END")
+
 ORACLES: dict[str, str] = {
+    "source_snapshot": f"SELECT nation, size, sha256 FROM {FILES}",
+    "source_changes": f"""SELECT coalesce(n.nation, b.nation) AS nation, CASE WHEN b.nation IS NULL THEN 'added' WHEN n.nation IS NULL THEN 'removed'
+ WHEN b.sha256 <> n.sha256 OR b.size <> n.size THEN 'changed' ELSE 'same' END AS status,
+ coalesce(b.sha256 <> n.sha256, false) AS hash_changed, coalesce(b.size <> n.size, false) AS size_changed, coalesce(n.size = 0, false) AS is_empty
+FROM {FILES} b FULL JOIN {LATER_FILES} n ON n.nation = b.nation""",
     "keyset_scan": union([
         "SELECT 'first' AS scan, o_orderkey, o_custkey, o_totalprice FROM orders",
         *[f"SELECT '{n}', o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)"
