@@ -49,9 +49,13 @@ def sql_source(
 
 
 def table_probe(df: DataFrame, table: str, key: str) -> DataFrame:
-    """One row per column: position, name, type, and its value in the first row by key."""
+    """One row per column: position, name, type, and its value in the row with the smallest key.
+
+    That key is found on the key column alone; the row is then read by a pushed-down predicate.
+    """
     fields = df.schema.fields
-    first = df.orderBy(key).limit(1)
+    least = df.agg(F.min(key)).first()[0]
+    first = df.where(F.col(key).eqNullSafe(F.lit(least))).limit(1)
     described = F.array(
         *[
             F.struct(
