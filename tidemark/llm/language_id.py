@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -17,6 +16,8 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import documents
 
 UNKNOWN = "und"
+# Put before each block: a short text alone would be stored as it is, as nothing is gained by compressing it.
+CARRIER = b" " * 512
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,7 @@ class Settings:
     sample_chars: int = 2_000  # characters of each that it takes, at most
     dictionary_bytes: int = 400_000  # size of a dictionary, at most
     block_chars: int = 1_000  # text compressed at once
+    run_words: int = 3  # words of a run, compressed where whole blocks leave a narrow margin
     level: int = 6
     margin: float = 0.002  # the second smallest must be larger by this share of the smallest
 
@@ -33,13 +35,21 @@ def learn(labelled: DataFrame, settings: Settings = Settings(), id_col: str = "d
     """One dictionary per language from a bounded sample of labelled rows, the rows with the lowest hashes.
 
     The sample is bounded by ``sample_docs`` and ``sample_chars`` for each language. Rows without language or text teach
-    nothing; without any labelled row the result is empty. Rows are ranked per language with a limit in each task before
-    the shuffle, so a language that holds most rows sends no more than the others.
+    nothing; without any labelled row the result is empty. Languages are counted first, so that a language that holds
+    most rows sends no more than the others; what reaches the driver grows with the number of languages only.
     """
     rows = documents(labelled, id_col, text_col, lang=lang_col).where("lang IS NOT NULL AND text <> ''")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    rows = rows.select("lang", "doc_id", F.substring("text", 1, settings.sample_chars).alias("text"))
-    sample = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= settings.sample_docs)
+    rows = rows.withColumn("lang", F.col("lang").cast("string"))
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    hashed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    rows = rows.select("lang", "doc_id", hashed.alias("hash"), F.substring("text", 1, settings.sample_chars).alias("text"))
+    # Only hashes low enough for a few times the sample move at all; the exact lowest are picked among them.
+    low = F.lit(None).cast("long")
+    for lang, n in counts.items():
+        low = F.when(F.col("lang") == lang, F.lit(int(min(1.0, 4 * settings.sample_docs / n) * (1 << 40)))).otherwise(low)
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    sample = rows.where(F.col("hash") <= low).withColumn("place", F.row_number().over(order))
+    sample = sample.where(F.col("place") <= settings.sample_docs)
     found: dict[str, list[str]] = {}
     for row in sample.select("lang", "place", "text").collect():
         found.setdefault(str(row.lang), []).append((row.place, row.text))
@@ -55,7 +65,7 @@ class Compressor:
     def __init__(self, dictionaries: dict[str, bytes], settings: Settings) -> None:
         import zstandard
 
-        self.block = settings.block_chars
+        self.block, self.run, self.margin = settings.block_chars, settings.run_words, settings.margin
         self.tools = []
         for content in dictionaries.values():
             content = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -64,10 +74,24 @@ class Compressor:
                 level=settings.level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False,
             ))
 
+    def total(self, parts: list[str]) -> list[int]:
+        blocks = [CARRIER + p.encode() for p in parts]
+        return [sum(len(tool.compress(b)) for b in blocks) for tool in self.tools]
+
     def sizes(self, text: str) -> list[int]:
+        """Size of the whole text under each dictionary; where that leaves a narrow margin, runs of a few words count too."""
         text = text.lower()
-        blocks = [text[k:k + self.block].encode() for k in range(0, len(text), self.block)]
-        return [sum(len(tool.compress(b)) for b in blocks) for tool in self.tools]
+        sizes = self.total([text[k:k + self.block] for k in range(0, len(text), self.block)])
+        if len(sizes) > 1 and margin_of(sizes) < self.margin:
+            words = text.split()
+            runs = [" ".join(words[k:k + self.run]) for k in range(max(1, len(words) - self.run + 1))]
+            sizes = [a + b for a, b in zip(sizes, self.total(runs), strict=True)]
+        return sizes
+
+
+def margin_of(sizes: list[int]) -> float:
+    best, *rest = sorted(sizes)
+    return rest[0] / best - 1 if rest else 0.0
 
 
 def identify(
@@ -94,10 +118,8 @@ def identify(
                     langs.append(UNKNOWN)
                     margins.append(0.0)
                     continue
-                best = int(np.argmin(sizes))
-                second = min((s for k, s in enumerate(sizes) if k != best), default=sizes[best])
-                langs.append(names[best])
-                margins.append(second / sizes[best] - 1)
+                langs.append(names[sizes.index(min(sizes))])
+                margins.append(margin_of(sizes))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(langs), pa.array(margins, pa.float64())], ["doc_id", "lang_pred", "margin"]
             )
