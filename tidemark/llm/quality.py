@@ -137,10 +137,11 @@ def quality_scores(
     )
     known = labels.select(column(labels, label_id).alias("doc_id"), column(labels, label_col).cast("int").alias("good"))
     known = known.where("doc_id IS NOT NULL AND good IN (0, 1)").groupBy("doc_id").agg(F.min("good").alias("good"))
-    training = base.join(known, "doc_id")
+    # Both sides move at every size: the labels grow with the documents.
+    training = base.join(known.hint("merge"), "doc_id")
     weights = log_odds(count_features(training, settings), settings)
     scored = stage(evidence(base, weights, settings), "evidence")
-    told = scored.join(known, "doc_id", "left")
+    told = scored.join(known.hint("merge"), "doc_id", "left")
     paths = stage(told.groupBy("host", "path").agg(
         F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")
     ), "paths")
