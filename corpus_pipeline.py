@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import column, crc32_parity, prepare
 from tidemark.llm.language_id import identify, learn
-from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.line_dedup import PASSAGES, line_dedup
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.secret_scan import scan
@@ -43,10 +43,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes repeated chunks of lines; documents that consist of nothing else go, all others stay."""
+    """Removes repeated chunks of lines and passages of whole lines; documents that consist of nothing else go, all others stay."""
     prepare(spark)
     before = docs.withColumn("had text", F.coalesce(F.char_length("text") > 0, F.lit(False)))
-    after = with_size(line_dedup(before))
+    after = with_size(line_dedup(before, PASSAGES))
     return after.where(~F.col("had text") | (F.col("text") != "")).select(*[column(after, c) for c in docs.columns])
 
 

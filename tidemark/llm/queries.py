@@ -12,7 +12,7 @@ from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import identify, learn
 from tidemark.llm.lattice_sampling import encode
-from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.line_dedup import PASSAGES, line_dedup
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
@@ -74,7 +74,7 @@ def op4_line_dedup(spark, sf_dir):
     """doc_id, the text left, its length and how many characters went."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.char_length(F.coalesce("text", F.lit(""))).alias("before"))
     left = F.char_length(F.coalesce("text", F.lit("")))
-    return line_dedup(docs).select("doc_id", "text", (F.col("before") - left).cast("long").alias("removed_chars"))
+    return line_dedup(docs, PASSAGES).select("doc_id", "text", (F.col("before") - left).cast("long").alias("removed_chars"))
 
 
 @query
