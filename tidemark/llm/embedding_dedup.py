@@ -1,9 +1,12 @@
-"""Near-duplicate vectors by sorted projection passes.
-
-In each pass the vectors stand in lexicographic order of their label and a signature of random projection bits; every
-vector is compared with the next ones in that order. Pairs whose cosine reaches the threshold are joined; components
-over all passes are the groups. Links within a group are then counted exactly: members within reach of the group's
-centre are linked by the triangle inequality, and only the others are compared, block by block.
+"""Near-duplicate vectors by hashed passes in blocks.
+
+In each pass the vectors of a label are put into cells by the places of their projections on random lines, and all
+vectors of a cell are compared, block by block. A projection is cut into steps much wider than the distance at the
+threshold, so two vectors that link share a cell with a probability that neither the rest of the label nor its centre
+changes; the passes follow from that and the recall wanted. How many lines make a cell is the cheapest number by the
+cells counted in each label; without any a label is one cell and nothing can be lost. Pairs whose cosine reaches the
+threshold are joined; components over all passes are the groups. Links within a group are then counted exactly: members
+within reach of the group's centre are linked by the triangle inequality, and only the others are compared.
 """
 
 from __future__ import annotations
@@ -20,17 +23,24 @@ from tidemark.llm.common import column, connected, stage
 
 LEVELS = 32  # rings of equal width about a centre, up to twice the angle of the threshold; the last holds all beyond
 SLACK = 1e-6  # radians left for rounding where a bound decides
+LINES = (0, 4, 8, 12, 16, 20, 24, 28, 32)  # numbers of lines a cell may have
 
 
 @dataclass(frozen=True)
 class Settings:
     cosine: float = 0.93
-    passes: int = 12
-    bits: int = 63  # projection bits of a signature
-    window: int = 24  # following neighbours compared in each pass
-    block: int = 256  # vectors compared at once where links are counted
+    recall: float = 0.999  # share of links at the very threshold to be found; closer ones are missed less
+    step: float = 8.0  # width of a step on a line, in distances at the threshold
+    move: int = 2000  # comparisons that cost as much as a vector moved in one more pass
+    block: int = 256  # vectors compared at once
     seed: int = 20240602
 
+    def passes(self, lines: int) -> int:
+        """Passes that reach the recall with cells of so many lines."""
+        far = self.step  # two normal projections this far apart, in their spread, share a step with this probability:
+        share = math.erf(far / math.sqrt(2)) - math.sqrt(2 / math.pi) / far * (1 - math.exp(-far * far / 2))
+        return math.ceil(math.log(1 - self.recall) / math.log1p(-(share**lines))) if lines else 1
+
 
 def vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """vec_id, label, x: unit vectors in double precision of the rows that can link; all others are left out."""
@@ -49,69 +59,99 @@ def matrix(values: pa.ListArray) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
-def signed(rows: DataFrame, settings: Settings) -> DataFrame:
-    """vec_id, label, width, x and the signature of each pass; vectors of different width never meet."""
+class Cells:
+    """Cells of unit vectors of one width in a pass, for each number of lines up to the last."""
+
+    def __init__(self, settings: Settings, width: int) -> None:
+        self.settings, self.width = settings, width
+        self.drawn: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def keys(self, x: np.ndarray, turn: int, lines: int) -> np.ndarray:
+        """One column for each of 1 to ``lines`` lines."""
+        if turn not in self.drawn:
+            draw = np.random.default_rng([self.settings.seed, self.width, turn])
+            planes, shift = draw.standard_normal((self.width, LINES[-1])), draw.random(LINES[-1])
+            self.drawn[turn] = planes, shift, draw.integers(-(1 << 63), 1 << 63, size=LINES[-1], dtype=np.int64) | 1
+        planes, shift, weights = self.drawn[turn]
+        step = self.settings.step * math.sqrt(2 - 2 * self.settings.cosine)
+        places = np.floor(x @ planes[:, :lines] / step + shift[:lines]).astype(np.int64)
+        return np.cumsum(places * weights[:lines], axis=1)
+
+
+def with_keys(rows: DataFrame, settings: Settings, lines: str, passes: str) -> DataFrame:
+    """vec_id, label, width, x, and keys: of each pass the cell, or with null passes the cells of pass 0 for all LINES."""
+    names = ["vec_id", "label", "width", "x"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
-        weights = (np.uint64(1) << np.arange(settings.bits, dtype=np.uint64))[::-1]
+        known: dict[int, Cells] = {}
         for batch in batches:
-            widths = np.diff(batch.column("x").offsets.to_numpy())
-            for width in np.unique(widths):
-                some = batch.filter(pa.array(widths == width))
-                w = int(width)
-                if w not in planes:
-                    planes[w] = np.random.default_rng([settings.seed, w]).standard_normal((settings.passes, w, settings.bits))
+            how = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("width", "lines", "passes")], axis=1)
+            for width, n, turns in np.unique(how, axis=0).tolist():
+                some = batch.filter(pa.array((how == [width, n, turns]).all(axis=1)))
                 x = matrix(some.column("x"))
-                keys = np.stack([((x @ p) > 0).astype(np.uint64) @ weights for p in planes[w]], axis=1).astype(np.int64)
-                ends = (np.arange(len(x) + 1) * settings.passes).astype(np.int32)
+                cells = known.setdefault(width, Cells(settings, width))
+                zero = np.zeros((len(x), 1), np.int64)
+                if turns:
+                    keys = np.concatenate([cells.keys(x, t, n)[:, -1:] if n else zero for t in range(turns)], axis=1)
+                else:
+                    keys = np.concatenate([zero, cells.keys(x, 0, LINES[-1])], axis=1)[:, list(LINES)]
+                ends = (np.arange(len(x) + 1) * keys.shape[1]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("vec_id"), some.column("label"), pa.array(np.full(len(x), w), pa.int32()), some.column("x"),
-                     pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))],
-                    ["vec_id", "label", "width", "x", "keys"],
+                    [*[some.column(c) for c in names], pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], [*names, "keys"]
                 )
 
-    schema = T.StructType([
-        rows.schema["vec_id"], rows.schema["label"], T.StructField("width", T.IntegerType()), rows.schema["x"],
-        T.StructField("keys", T.ArrayType(T.LongType())),
-    ])
-    return rows.mapInArrow(sign, schema)
+    schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("keys", T.ArrayType(T.LongType()))])
+    return rows.select(*names, F.expr(lines).cast("long").alias("lines"), F.expr(passes).cast("long").alias("passes")).mapInArrow(sign, schema)
 
 
-def window_pairs(ordered: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b) of linked neighbours in rows sorted within partitions; per run a forest, so no more pairs than rows."""
+def chosen_lines(rows: DataFrame, settings: Settings) -> DataFrame:
+    """label, width, lines, passes: per label what moves and compares least, from the sizes of its cells in pass 0."""
+    tried = with_keys(rows, settings, "0", "0").select("label", "width", F.posexplode("keys").alias("k", "key"))
+    cells = tried.groupBy("label", "width", "k", "key").agg(F.count("*").cast("double").alias("n"))
+    sizes = cells.groupBy("label", "width", "k").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("k") + 1)
+    passes = of([settings.passes(n) for n in LINES])
+    options = sizes.select(
+        "label", "width", F.struct((passes * (settings.move * F.col("n") + F.col("pairs"))).alias("cost"), of(LINES).alias("lines"), passes.alias("passes")).alias("o"),
+    )
+    best = options.groupBy("label", "width").agg(F.min("o").alias("o"))
+    return stage(best.select("label", "width", "o.lines", "o.passes"), "lines")
+
+
+def cell_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b) of linked vectors that share a cell in any pass; per two blocks a forest, so no more pairs than rows."""
+    keyed = with_keys(rows.join(chosen_lines(rows, settings), ["label", "width"]), settings, "lines", "passes")
+    keyed = stage(keyed, "keyed")
+    cell = ["label", "width", "pass", "key"]
+    spread = keyed.select("label", "width", F.posexplode("keys").alias("pass", "key"), "vec_id", "x")
+    sizes = spread.groupBy(*cell).agg(F.count("*").alias("n")).where("n > 1")
+    parts = stage(sizes.select(*cell, F.ceil(F.col("n") / settings.block).cast("int").alias("parts")), "parts")
+    blocks = spread.join(parts, cell).groupBy(*cell, F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part")).agg(
+        F.collect_list(F.struct("vec_id", "x")).alias("rows")
+    )
+    blocks = stage(blocks, "cells")
+    right = blocks.select(*cell, F.col("part").alias("other"), F.col("rows").alias("others"))
+    meeting = blocks.join(right, cell).where("part <= other")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
         for batch in batches:
-            if not len(batch):
-                continue
-            table = pa.Table.from_batches([batch] if tail is None else [tail, batch]).combine_chunks()
-            old = 0 if tail is None else len(tail)
-            whole = table.to_batches()[0]
-            group = np.concatenate([[0], np.cumsum(np.any([changed(whole.column(c)) for c in ("pass", "label", "width")], axis=0))])
-            n = len(whole)
-            hits = [np.empty((0, 2), np.int64)]
-            for g in np.unique(group[max(0, old - 1):]):
-                at = np.flatnonzero(group == g)
-                x = matrix(whole.column("x").slice(at[0], len(at)))
-                for d in range(1, min(settings.window, len(at) - 1) + 1):
-                    hit = at[0] + np.flatnonzero(np.einsum("ij,ij->i", x[:-d], x[d:]) >= settings.cosine)
-                    hits.append(np.stack([hit, hit + d], axis=1)[hit + d >= old])
-            top = smallest(n, np.concatenate(hits))
-            moved = np.flatnonzero(top != np.arange(n))
-            ids = whole.column("vec_id")
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(moved)), ids.take(pa.array(top[moved]))], ["a", "b"])
-            tail = whole.slice(max(0, n - settings.window))
-
-    kind = ordered.schema["vec_id"].dataType
-    return ordered.mapInArrow(compare, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
-
-
-def changed(values: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)
+            found = []
+            for k in range(len(batch)):
+                a, b = (batch.column(c)[k].values for c in ("rows", "others"))
+                hit = np.argwhere(matrix(a.field("x")) @ matrix(b.field("x")).T >= settings.cosine)
+                if batch.column("same")[k].as_py():
+                    ids = a.field("vec_id")
+                else:
+                    ids, hit = pa.concat_arrays([a.field("vec_id"), b.field("vec_id")]), hit + [0, len(a)]
+                top = smallest(len(ids), hit)
+                moved = np.flatnonzero(top != np.arange(len(ids)))
+                found.append((ids.take(pa.array(moved)), ids.take(pa.array(top[moved]))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*found, strict=True)], ["a", "b"])
+
+    kind = rows.schema["vec_id"].dataType
+    few = meeting.select("rows", "others", (F.col("part") == F.col("other")).alias("same"))
+    return few.mapInArrow(compare, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
 
 
 def smallest(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -199,15 +239,15 @@ def embedding_dedup(
     component, kept. Equal vectors link like any others. Ids are taken as unique; rows that repeat an id are one vector
     in components. An empty table gives no rows; further columns are not read.
 
-    A pass moves every vector once; the order is range-partitioned, so equal labels or signatures that hold much of the
-    table spread over tasks. Neighbours on two sides of a partition boundary are not compared in that pass; boundaries
-    differ from pass to pass. A group costs its size, but for members too far from its centre.
+    Equal vectors of a label are compared as one. A pass moves every vector that shares its cell, and compares the
+    vectors of a cell with each other in blocks; vectors of a label that crowd closer than the threshold cost their
+    number squared. A group costs its size, but for members too far from its centre.
     """
-    rows = stage(signed(vectors(table, id_col, vector_col, label_col), settings), "signed")
-    keys = F.posexplode("keys").alias("pass", "key")
-    spread = rows.select("vec_id", "label", "width", "x", keys)
-    ordered = spread.repartitionByRange("pass", "label", "width", "key", "vec_id").sortWithinPartitions("pass", "label", "width", "key", "vec_id")
-    edges = stage(window_pairs(ordered, settings).distinct(), "edges")
+    rows = stage(vectors(table, id_col, vector_col, label_col).withColumn("width", F.size("x")), "vectors")
+    single = stage(rows.groupBy("label", "width", "x").agg(F.min("vec_id").alias("vec_id"), F.max("vec_id").alias("last")), "single")
+    several = single.where("vec_id <> last").select("label", "width", "x", F.col("vec_id").alias("b"))
+    copies = rows.join(several, ["label", "width", "x"]).where("vec_id <> b").select(F.col("vec_id").alias("a"), "b")
+    edges = stage(cell_pairs(single.drop("last"), settings).unionByName(copies).distinct(), "edges")
     found = stage(connected(edges), "components")
     members = stage(rows.join(found, F.col("vec_id") == F.col("node")).select("vec_id", "component", "x"), "members")
     links = counted_links(members, settings)
