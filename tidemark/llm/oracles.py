@@ -38,4 +38,16 @@ near AS (SELECT a, sum(size) AS near FROM links GROUP BY a)
 SELECT d.doc_id, coalesce(low.class_id, d.doc_id) AS class_id, coalesce(c.copy_id, d.doc_id) AS copy_id,
  CAST(coalesce(c.size - 1, 0) + coalesce(near.near, 0) AS BIGINT) AS n_links, coalesce(low.class_id, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN low ON low.node = c.copy_id LEFT JOIN near ON near.a = c.copy_id""",
+    "op11_hard_negatives": """WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS q FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+ AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+ FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+ QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+ id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 3""",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.common import crc32_parity, prepare
 from tidemark.llm.embedding_dedup import embedding_dedup
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.hard_negatives import hard_negatives
 from tidemark.llm.language_id import identify, learn
 from tidemark.llm.lattice_sampling import encode
 from tidemark.llm.line_dedup import PASSAGES, line_dedup
@@ -17,9 +18,13 @@ from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.secret_scan import secret_digests
+from tidemark.llm.token_alignment import token_alignment
 from tidemark.llm.token_count import token_counts
+from tidemark.llm.url_filter import Rule, labelled_by_rules, train, url_filter
 from tidemark.session import new_dir
 
+RULES = [Rule("block", "net"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -94,3 +99,24 @@ def op2_quality(spark, sf_dir):
 def op6_lattice_sampling(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
     return encode(load(spark, sf_dir, "documents"), model, k=2, sharpness=0.5, with_ids=False)
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Rows whose id 7 divides count with the next label; ids that 50 divides are the anchors."""
+    rows = load(spark, sf_dir, "embeddings")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, label=label)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment(load(spark, sf_dir, "documents"), *files)
+
+
+@query
+def op13_url_filter(spark, sf_dir):
+    """Rules first; the URLs that they decide are the labelled ones from which the trees are trained."""
+    pages = load(spark, sf_dir, "pages")
+    return url_filter(pages, RULES, train(labelled_by_rules(pages, RULES))).drop("blocked")
