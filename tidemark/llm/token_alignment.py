@@ -15,6 +15,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,11 @@ from tidemark.llm.common import documents, stage
 
 MARK = "▁"  # stands for a space inside pieces of SentencePiece
 CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_WORDS = 400_000  # distinct words a worker remembers
-CACHE_CHARS = 40_000_000  # and characters of their groups
+CACHE_WORDS = 700_000  # distinct words a worker remembers
+CACHE_CHARS = 60_000_000  # and characters of their groups
 BLOCK_CHARS = 4_000_000  # characters of the documents of a block, unless one document alone has more
 SHIFT = 20  # bits of a second id inside a pair
+SEPARATORS = (",", "|", ";", "")  # after an id: within a side, after the last of A, after a group, after the last group
 
 
 def byte_level_table() -> dict[str, int]:
@@ -38,45 +40,31 @@ def byte_level_table() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def byte_ends(spans: list[tuple[int, int]], sizes: list[int], place: list[int]) -> list[int]:
-    """Byte at which each token ends.
+def byte_ends(start: np.ndarray, end: np.ndarray, size: np.ndarray, place: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Byte at which each token ends, of the tokens of many texts laid end to end.
 
-    ``spans`` are coarse: units (characters or bytes) from the start of the text, ``place`` gives the byte where each unit
-    starts, and the end. A token that ends where the next one starts is cut there. Tokens that share a unit with the next
-    one, or whose span is empty, end where their own decoded bytes (``sizes``) do.
+    ``start`` and ``end`` are coarse: units (characters or bytes) of all texts together, ``place`` gives the byte where
+    each unit starts, and the end of all. A token that ends where the next one starts is cut there. Tokens that share a
+    unit with the next one, or whose span is empty, end where their own decoded bytes do: ``size`` after the cut before,
+    or after ``base``, the byte where their text starts, at the first of them.
     """
-    ends, at = [], 0
-    for k, (start, end) in enumerate(spans):
-        clean = end > start and (k + 1 == len(spans) or spans[k + 1][0] == end)
-        at = place[end] if clean else at + sizes[k]
-        ends.append(at)
+    follows = np.append(start[1:], end[-1:])
+    clean = (end > start) & (follows == end)
+    ends = place[end]
+    odd = np.flatnonzero(~clean)
+    if len(odd):
+        # Bytes decoded since the last clean cut or the start of the text, whichever comes later.
+        total = np.cumsum(size)
+        known = np.where(clean, ends, 0)
+        last = np.maximum.accumulate(np.where(clean, np.arange(len(end)), -1))[odd]
+        at, spent = np.where(last >= 0, known[last], 0), np.where(last >= 0, total[last], 0)
+        fresh = base[odd] > at
+        first = np.searchsorted(base, base[odd], side="left")
+        before = np.where(first > 0, total[first - 1], 0)
+        ends[odd] = np.where(fresh, base[odd] + total[odd] - before, at + total[odd] - spent)
     return ends
 
 
-def groups(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """How many tokens of either side end at or before each byte where both sides have an end."""
-    places = {e: k for k, e in enumerate(a_ends, 1)}
-    out = {}
-    for k, e in enumerate(b_ends, 1):
-        if e in places:
-            out[e] = (places[e], k)
-    return list(out.values())
-
-
-def links(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int]]:
-    """Places of all tokens of both sides whose byte ranges overlap; ranges without bytes overlap nothing."""
-    out, i, j, at = [], 0, 0, 0
-    while i < len(a_ends) and j < len(b_ends):
-        end = min(a_ends[i], b_ends[j])
-        if end > at:
-            out.append((i, j))
-            at = end
-        # A token of no bytes is passed over.
-        step_a, step_b = a_ends[i] <= at, b_ends[j] <= at
-        i, j = i + step_a, j + step_b
-    return out
-
-
 class Aligner:
     """Aligns words of texts by two tokenizer files, and remembers them."""
 
@@ -98,6 +86,13 @@ class Aligner:
         ]
         # Words are independent where no piece has a space after another character, and none is cut at spaces otherwise.
         self.by_word = not any(MARK in p.lstrip(MARK) for i, p in enumerate(pieces) if not self.b.is_byte(i))
+        # Texts of ids with what may follow them in groups; the ids of B come after those of A.
+        count = max(self.a_bytes) + 1
+        self.second = count
+        self.shown = [f"{i}{sep}" for sep in SEPARATORS for ids in (range(count), range(len(pieces))) for i in ids]
+        self.a_size, self.b_size = np.zeros(count, np.int64), np.array([len(x) for x in self.b_bytes])
+        for i, x in self.a_bytes.items():
+            self.a_size[i] = len(x)
         self.known: dict[str, int] = {}
         self.forget()
 
@@ -110,44 +105,68 @@ class Aligner:
         self.starts = np.zeros(1, np.int64)
 
     def learn(self, words: list[str]) -> None:
-        sizes, pairs, counts = [], [], []
-        for k in range(0, len(words), 10_000):
-            some = words[k:k + 10_000]
-            ours = self.a.encode_batch([" " + w for w in some], add_special_tokens=False)
-            theirs = self.b.encode(some, return_type="proto", num_threads=1)
-            for word, x, y in zip(some, ours, theirs, strict=True):
-                text, size, found = self.align(word, x.ids, x.offsets, [(p.id, p.begin, p.end) for p in y.pieces])
-                self.known[word] = len(self.texts)
-                self.texts.append(text)
-                self.held += len(text or "")
-                sizes.append(size)
-                pairs += found
-                counts.append(len(found))
-        if words:
-            self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int32)])
-            self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-
-    def align(self, word: str, a: list[int], a_spans: list[tuple[int, int]], b: list[tuple[int, int, int]]) -> tuple:
-        whole = b" " + word.encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[p[0]] for p in b]
-        if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return None, (0, 0, 0, 0), []
-        if len(whole) == len(word) + 1:
-            place = range(len(whole) + 1)
-        else:
-            place = np.cumsum([0, 1, *[len(c.encode()) for c in word]]).tolist()
-        a_ends = byte_ends(a_spans, [len(p) for p in a_parts], place)
-        # Spans of pieces lie in the text without the space that stands before it; its byte belongs to the first piece.
-        b_spans = [(begin + 1 if k else 0, end + 1) for k, (_, begin, end) in enumerate(b)]
-        b_ends = byte_ends(b_spans, [len(p) for p in b_parts], range(len(whole) + 1))
-        found = [a[i] << SHIFT | b[j][0] for i, j in links(a_ends, b_ends)]
-        cuts = groups(a_ends, b_ends)
-        texts, i, j = [], 0, 0
-        for m, n in cuts:
-            texts.append(f"{','.join(map(str, a[i:m]))}|{','.join(str(p[0]) for p in b[j:n])}")
-            i, j = m, n
-        return ";".join(texts), (len(a), len(b), len(cuts), len(found)), found
+        """Align new words, all of them at once."""
+        for k in range(0, len(words), 20_000):
+            texts, sizes, pairs = self.align(words[k:k + 20_000])
+            self.known.update(zip(words[k:k + 20_000], range(len(self.texts), len(self.texts) + len(texts)), strict=True))
+            self.texts += texts
+            self.held += sum(len(t) for t in texts if t)
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+            self.pairs = np.concatenate([self.pairs, pairs])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 3])])
+
+    def align(self, words: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Per word its groups as text (None where bytes differ) and its sizes, and the pairs of all words one after another."""
+        spaced = [" " + w for w in words]
+        ours = self.a.encode_batch(spaced, add_special_tokens=False)
+        theirs = [[(p.id, p.begin, p.end) for p in y.pieces] for y in self.b.encode(words, return_type="proto", num_threads=1)]
+        a_ids = [x.ids for x in ours]
+        raw = [w.encode() for w in spaced]
+        good = np.array([
+            b"".join(map(self.a_bytes.__getitem__, x)) == w and b"".join([self.b_bytes[p[0]] for p in y]) == w
+            for x, y, w in zip(a_ids, theirs, raw, strict=True)
+        ])
+        texts: list[str | None] = [None] * len(words)
+        sizes = np.zeros((len(words), 4), np.int64)
+        fit = np.flatnonzero(good).tolist()
+        if not fit:
+            return texts, sizes, np.zeros(0, np.int64)
+        flat = lambda parts, kind=np.int64: np.fromiter(chain.from_iterable(parts), kind)
+        chars, n_bytes = np.array([len(spaced[k]) for k in fit]), np.array([len(raw[k]) for k in fit])
+        first_char, first_byte = np.append(0, np.cumsum(chars)), np.append(0, np.cumsum(n_bytes))
+        n_a, n_b = np.array([len(a_ids[k]) for k in fit]), np.array([len(theirs[k]) for k in fit])
+        a_word, b_word = np.repeat(np.arange(len(fit)), n_a), np.repeat(np.arange(len(fit)), n_b)
+        code = np.frombuffer("".join([spaced[k] for k in fit]).encode("utf-32-le"), np.uint32)
+        wide = np.ones(len(code), np.int64) + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+        place = np.append(0, np.cumsum(wide))
+        a = flat(a_ids[k] for k in fit)
+        spans = flat(chain.from_iterable(ours[k].offsets) for k in fit).reshape(-1, 2) + first_char[a_word, None]
+        a_ends = byte_ends(spans[:, 0], spans[:, 1], self.a_size[a], place, first_byte[a_word])
+        # Spans of pieces are bytes of the text without the space before it; that byte belongs to the first piece.
+        found = flat(chain.from_iterable(theirs[k]) for k in fit).reshape(-1, 3)
+        b, b_first = found[:, 0], np.append(True, b_word[1:] != b_word[:-1])
+        start, end = found[:, 1] + 1 + first_byte[b_word], found[:, 2] + 1 + first_byte[b_word]
+        start = np.where(b_first, first_byte[b_word], start)
+        b_ends = byte_ends(start, end, self.b_size[b], np.arange(first_byte[-1] + 1), first_byte[b_word])
+        # A link per stretch between ends of either side: the token of each side that covers it.
+        stops = np.union1d(a_ends, b_ends)
+        i, j = np.searchsorted(a_ends, stops), np.searchsorted(b_ends, stops)
+        pairs = a[i] << SHIFT | b[j]
+        # A group ends where both sides do.
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        a_last, b_last = cuts[a_group] == a_ends, cuts[b_group] == b_ends
+        closes = b_last & np.append(b_word[1:] != b_word[:-1], True)
+        kind = np.concatenate([np.where(a_last, 1, 0), np.where(closes, 3, np.where(b_last, 2, 0))])
+        token = np.concatenate([a, self.second + b]) + kind * (self.second + len(self.b_size))
+        order = np.lexsort((np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a_group, b_group])))
+        shown = list(map(self.shown.__getitem__, token[order].tolist()))
+        stop = np.cumsum(n_a + n_b).tolist()
+        for k, begin, end in zip(fit, [0, *stop], stop):
+            texts[k] = "".join(shown[begin:end])
+        word_of = lambda ends: np.bincount(np.searchsorted(first_byte, ends) - 1, minlength=len(fit))
+        sizes[fit] = np.stack([n_a, n_b, word_of(cuts), word_of(stops)], axis=1)
+        return texts, sizes, pairs
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Of all texts: their sizes, digests, and their distinct pairs as document, pair, times."""
