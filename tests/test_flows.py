@@ -7,11 +7,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import keyset, merge
+from tidemark.operators import keyset, merge, metrics
 from tidemark.plans.flows import TableSync, prune_all, sync_cycle
 from tidemark.session import configure, new_dir
 from tidemark.sources.store import TableStore
-from tidemark.specs import CITIES, CUSTOMERS, RECEIPTS, RETURNS, RUN_SCHEMA, SALES, SPECS
+from tidemark.specs import CITIES, CUSTOMERS, RECEIPTS, RETURNS, SALES, SPECS
 from tidemark.streaming.stream import read_stream, stream_sync
 
 DAY1, DAY2, DAY3 = datetime(2024, 5, 1), datetime(2024, 5, 2), datetime(2024, 5, 3)
@@ -78,13 +78,10 @@ def test_key_predicates_reach_the_scan(spark, sf_dir):
     assert end == "750" and "LessThanOrEqual(o_orderkey,750)" in plan
 
 
-def test_only_changed_rows_are_written(spark, store):
+def test_only_changed_rows_get_new_times(spark, store):
     at(store).full(SALES, bills(spark, range(100)))
     changed = bills(spark, range(110), amount=lambda k: "7" if k % 10 == 3 else f"{k}.50")
     assert counts(at(store, DAY2).full(SALES, changed)) == (110, 10, 10, 90, 0, 0)
-    _, deltas = store.layers("raw_sales")
-    layer = spark.read.parquet(f"{store.root}/raw_sales/delta/v={deltas[-1]}")
-    assert layer.count() == 20
     found = rows(at(store), SALES, "net_amount", "updated_at")
     assert found["3"] == (7.0, DAY2) and found["4"] == (4.5, DAY1) and found["109"] == (109.5, DAY2)
 
@@ -258,10 +255,11 @@ def test_cycle_runs_all_tables_and_one_failure_stops_no_other(spark, store):
     }
     sync = at(store, cycle_id="cycle-1")
     done = {(r.table_name, r.mode): r for r in sync_cycle(sync, sources, list(SPECS.values())).collect()}
-    assert len(done) == 8
+    assert len(done) == 8 + 5  # every table is pruned first
+    assert {r.pruned for (_, mode), r in done.items() if mode == "prune"} == {0}
     assert done["City_Master", "full"].inserted == 1
     assert done["BILL_MASTER", "reconcile"].unchanged == 5
-    run = store.read("sync_runs", RUN_SCHEMA).first()
+    run = sync.runs().first()
     # A customer source without its key column gives rows without keys: one reject.
     assert done["CUSTOMER_MASTER", "full"].errors == 1
     assert (run.cycle_id, run.status, run.rows_scanned, run.rows_failed) == ("cycle-1", "FAILED", 16, 1)
@@ -272,8 +270,9 @@ def test_cycle_runs_all_tables_and_one_failure_stops_no_other(spark, store):
     assert "no key column" in again["BILL_MASTER", "incremental"].error
     assert again["Receipt_Master", "incremental"].error is None
     assert "ReturnGoods" in again["ReturnGoods", "reconcile"].error
-    status = {r.cycle_id: r.status for r in store.read("sync_runs", RUN_SCHEMA).collect()}
-    assert status == {"cycle-1": "FAILED", "cycle-2": "FAILED"}
+    assert [(r.cycle_id, r.status) for r in sync.runs().orderBy("cycle_id").collect()] == [("cycle-1", "FAILED"), ("cycle-2", "FAILED")]
+    stored = sync.results().groupBy("cycle_id").count().collect()
+    assert {r.cycle_id: r["count"] for r in stored} == {"cycle-1": 13, "cycle-2": 13}
 
 
 def test_crash_before_the_checkpoint_is_repaired_by_a_rerun(spark, store, monkeypatch):
@@ -365,15 +364,46 @@ def test_a_run_that_throws_is_closed(spark, store, monkeypatch):
     monkeypatch.setattr(flows, "_run_tasks", fails)
     with pytest.raises(OSError):
         sync_cycle(TableSync(store, "BILLING", DAY1, "c1"), {}, [])
-    assert [(r.cycle_id, r.status) for r in store.read("sync_runs", flows.RUN_SCHEMA).collect()] == [("c1", "FAILED")]
+    assert [(r.cycle_id, r.status) for r in at(store).runs().collect()] == [("c1", "FAILED")]
 
 
-def test_idle_runs_write_no_layers(spark, store):
+def test_runs_that_never_ended_are_closed_by_the_next(spark, store, monkeypatch):
+    import tidemark.plans.flows as flows
+
+    monkeypatch.setattr(flows, "_close_run", lambda *a: None)
+    sync_cycle(at(store, cycle_id="lost"), {}, [])
+    monkeypatch.undo()
+    assert at(store).runs().first().status == "RUNNING"
+    sync_cycle(at(store, DAY2, cycle_id="next"), {}, [])
+    found = {r.cycle_id: (r.status, r.start_time, r.end_time) for r in at(store).runs().collect()}
+    assert found["lost"] == ("INTERRUPTED", DAY1, DAY2) and found["next"][1] == DAY2
+
+
+def test_lag_after_an_incremental_run_and_its_alert(spark, store):
+    late = bills(spark, [5], date="03/04/24 10:11:12").unionByName(bills(spark, [1], date="03/04/24 14:11:12"))
+    at(store).incremental(SALES, bills(spark, [4]))
+    # The newest row has a key below the checkpoint, so the target stays four hours behind.
+    tasks = sync_cycle(at(store, DAY2, cycle_id="c"), {"BILL_MASTER": late}, [SALES])
+    found = {r.mode: r.lag_minutes for r in tasks.collect()}
+    assert found == {"prune": None, "incremental": 240.0, "reconcile": None}
+    assert [(r.table_name, r.lag_minutes) for r in metrics.lag_alerts(tasks).collect()] == [("BILL_MASTER", 240.0)]
+    assert at(store, DAY2).results().where("mode = 'incremental'").first().lag_minutes == 240.0
+
+
+def test_prune_is_a_task_of_the_cycle(spark, store):
+    at(store).full(SALES, bills(spark, range(6)))
+    at(store).mark_processed(SALES, spark.createDataFrame([("0",), ("1",)], "bill_id string"))
+    tasks = sync_cycle(at(store, DAY2, cycle_id="c"), {"BILL_MASTER": bills(spark, [])}, [SALES]).collect()
+    assert [(r.mode, r.pruned, r.error) for r in tasks if r.mode == "prune"] == [("prune", 2, None)]
+    assert sorted(rows(at(store))) == ["2", "3", "4", "5"]
+
+
+def test_idle_runs_write_no_base(spark, store):
     at(store).full(SALES, bills(spark, range(5)))
-    before = store.layers(SALES.target_table)
+    before = store.bases(SALES.target_table)
     at(store, DAY2).full(SALES, bills(spark, range(5)))
     at(store, DAY2).prune(SALES)
-    assert store.layers(SALES.target_table) == before
+    assert store.bases(SALES.target_table) == before
 
 
 def test_chunk_ends_for_all_kinds_of_keys(spark):

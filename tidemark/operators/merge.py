@@ -55,9 +55,8 @@ def upsert_changed(
 ) -> DataFrame:
     """The whole target after the merge, each row with its ``change_type``.
 
-    Rows not in the source and rows with an equal checksum come out as they were. One
-    exchange per side; for a table that is stored in layers ``TableStore`` writes only the
-    changed rows instead.
+    Rows not in the source and rows with an equal checksum come out as they were. A target that is bucketed and sorted
+    by its key, as ``TableStore`` keeps it, is neither moved nor sorted; only the source is.
     """
     key = spec.key.target
     columns = spec.raw_schema.fieldNames()
@@ -80,38 +79,20 @@ def upsert_changed(
     return merged.select("change_type", row.alias("r")).select("r.*", "change_type")
 
 
-def fingerprint_changes(old: DataFrame, seen: DataFrame, table: str, run_ts: datetime) -> DataFrame:
-    """Fingerprint rows of the seen keys: first time kept, change time moved only when
-    the checksum differs. ``seen`` is (entity_id, checksum), one row per key."""
-    now = clock(run_ts)
-    known = old.where(F.col("table_name") == table).select(
-        "entity_id",
-        F.col("checksum").alias("_old"),
-        F.col("first_seen_at").alias("_first"),
-        F.col("last_changed_at").alias("_changed"),
-    )
-    same = F.col("_old") == F.col("checksum")
-    return (
-        seen.join(known, "entity_id", "left")
-        .select(
-            F.lit(table).alias("table_name"),
-            "entity_id",
-            "checksum",
-            F.coalesce("_first", now).alias("first_seen_at"),
-            now.alias("last_seen_at"),
-            F.when(same, F.col("_changed")).otherwise(now).alias("last_changed_at"),
-            F.when(F.col("_old").isNull(), INSERT).otherwise(UPDATE).alias("change_type"),
-        )
-    )
-
-
 def upsert_fingerprints(
-    old: DataFrame, seen: DataFrame, table: str, run_ts: datetime
+    old: DataFrame, seen: DataFrame, table: str, run_ts: datetime, apart: bool = False
 ) -> DataFrame:
-    """The whole fingerprint table after a batch: one join, each side moved once."""
+    """The whole fingerprint table after a batch: one join, each side moved once.
+
+    First times are kept, change times move only when the checksum differs. ``seen`` is (entity_id, checksum), one row
+    per key. ``apart`` tells that ``old`` holds this table only; if it is bucketed by entity_id it is not moved at all.
+    """
     now = clock(run_ts)
     new = seen.select(F.lit(table).alias("table_name"), "entity_id", F.col("checksum").alias("_new"))
-    joined = old.join(new, ["table_name", "entity_id"], "full")
+    if apart:
+        joined = old.drop("table_name").join(new.drop("table_name"), "entity_id", "full").withColumn("table_name", F.lit(table))
+    else:
+        joined = old.join(new, ["table_name", "entity_id"], "full")
     found, same = F.col("_new").isNotNull(), F.col("_new").eqNullSafe(F.col("checksum"))
     return joined.select(
         "table_name",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark import functions as fn
 from tidemark.functions import clean_text, parse_amount, parse_flag
 from tidemark.functions.identity import row_id, with_canonical
-from tidemark.operators import keyset, merge, metrics, quality, retention, state
+from tidemark.operators import digests, keyset, merge, metrics, quality, retention, state
 from tidemark.operators.curate import clean_table, curate, map_to_raw, with_checksum
 from tidemark.plans.flows import TableSync, prune_all, sync_cycle
 from tidemark.plans.standins import (
@@ -44,6 +44,7 @@ from tidemark.specs import (
     TEXT,
     TableSpec,
 )
+from tidemark.streaming import keyed
 from tidemark.streaming.stream import read_stream, stream_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,7 +415,7 @@ def prune_all_query(spark, sf_dir):
     sync = TableSync(new_store(spark), SOURCE_SYSTEM, SECOND_RUN)
     tables = flagged(spark, sf_dir)
     for spec, rows in tables:
-        sync.store.replace(spec.target_table, rows)
+        sync.store.replace(spec.target_table, rows, spec.key.target)
     specs = [s for s, _ in tables]
     pruned = prune_all(sync, specs, 9000)
     left = [sync.target(s).agg(F.count("*").alias("kept")).select(F.lit(s.target_table).alias("table_name"), "kept") for s in specs]
@@ -573,6 +574,28 @@ def reconcile_chunk(spark, sf_dir):
     return shown(second.target(SALES).select("bill_id", "net_amount", "checksum", "created_at", "updated_at"))
 
 
+@query
+def range_digests(spark, sf_dir):
+    """Every sale that differs from the target of an earlier run, found by digests of key ranges."""
+    target, key = earlier_target(spark, sf_dir), SALES.key.target
+    store = new_store(spark)
+    store.replace(SALES.target_table, target, key)
+    stored_sales = store.read(SALES.target_table, SALES.raw_schema, key)
+    # Sales of one priority have gone from the source, so that all kinds of differences occur.
+    orders = sales(load(spark, sf_dir, "orders").where("o_orderpriority <> '5-LOW' OR o_orderkey % 2 = 0"))
+    return digests.differences(orders, stored_sales, SALES)
+
+
+@query
+def repair_sync(spark, sf_dir):
+    """The target of an earlier run, repaired where digests of key ranges differ from the source."""
+    store = new_store(spark)
+    TableSync(store, SOURCE_SYSTEM, FIRST_RUN).incremental(SALES, sales(earlier_orders(spark, sf_dir)))
+    second = TableSync(store, SOURCE_SYSTEM, SECOND_RUN)
+    second.repair(SALES, sales(load(spark, sf_dir, "orders")))
+    return shown(second.target(SALES).select("bill_id", "net_amount", "checksum", "created_at", "updated_at"))
+
+
 @query
 def full_sync(spark, sf_dir):
     """Both master tables, before and after changes."""
@@ -617,7 +640,8 @@ def cycle_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sync_cycle(first, earlier_sources(spark, sf_dir), specs, workers=5)
     second = TableSync(store, SOURCE_SYSTEM, SECOND_RUN, "cycle-2")
     done = sync_cycle(second, sources(spark, sf_dir), specs, workers=5)
-    return done.select("cycle_id", "table_name", "mode", "scanned", "inserted", "updated", "unchanged", "superseded", "errors")
+    counts = ["scanned", "inserted", "updated", "unchanged", "superseded", "errors", "pruned"]
+    return done.select("cycle_id", "table_name", "mode", *counts, F.round("lag_minutes", 4).alias("lag_minutes"))
 
 
 @query
@@ -625,9 +649,55 @@ def stream_sync_query(spark, sf_dir):
     """Receipts merged from a stream, then delivered again: the final target."""
     store = new_store(spark)
     schema = load(spark, sf_dir, "events").schema
-    events = read_stream(spark, sf_dir, schema, glob="events.parquet")
+    events = read_stream(spark, f"{sf_dir}/events.parquet", schema)
     sync = TableSync(store, SOURCE_SYSTEM, FIRST_RUN)
     stream_sync(sync, RECEIPTS, receipts(events), new_dir(spark, "stream"))
     again = TableSync(store, SOURCE_SYSTEM, SECOND_RUN)
     stream_sync(again, RECEIPTS, receipts(events), new_dir(spark, "stream"))
     return shown(again.target(RECEIPTS).select("receipt_id", "checksum", "raw_id", "created_at", "updated_at"))
+
+
+def deliveries(spark: SparkSession, sf_dir: str, times: int) -> tuple[str, Callable[[], None]]:
+    """A folder that holds the receipts of an earlier day ``times`` over, in files of their own, and what adds today's."""
+    folder, name = new_dir(spark, "deliveries"), RECEIPTS.source_table
+    before, now = earlier_sources(spark, sf_dir)[name], sources(spark, sf_dir)[name]
+    for _ in range(times):
+        before.repartition(3, "Receipt_ID").write.mode("append").parquet(folder)
+    return folder, lambda: now.repartition(3, "Receipt_ID").write.mode("append").parquet(folder)
+
+
+@query
+def stream_classify(spark, sf_dir):
+    """Classes of today's receipts by state that an earlier run of the stream has left."""
+    folder, add = deliveries(spark, sf_dir, 1)
+    schema, checkpoint = receipts(load(spark, sf_dir, "events")).schema, new_dir(spark, "stream")
+    out = new_dir(spark, "classes")
+
+    def run(now: datetime) -> None:
+        rows = keyed.classified(read_stream(spark, folder, schema, max_files=2), RECEIPTS, now)
+        keyed.run_batches(rows, checkpoint, lambda b, _: b.write.mode("append").parquet(f"{out}/{now:%Y-%m-%d}"), "update")
+
+    with keyed.keyed_state(spark):
+        run(FIRST_RUN)
+        add()
+        run(SECOND_RUN)
+    last = spark.read.parquet(f"{out}/{SECOND_RUN:%Y-%m-%d}")
+    return shown(last.select("receipt_id", "change_type", "checksum", "first_seen_at", "last_changed_at"))
+
+
+@query
+def stream_once(spark, sf_dir):
+    """Receipts delivered three times, with today's changes: how often each of them reached the merge."""
+    folder, add = deliveries(spark, sf_dir, 2)
+    schema, checkpoint = receipts(load(spark, sf_dir, "events")).schema, new_dir(spark, "stream")
+    out = new_dir(spark, "reached")
+
+    def run() -> None:
+        rows = read_stream(spark, folder, schema, max_files=2, arrival=True)
+        once = keyed.without_redelivery(rows, RECEIPTS, "_arrived", "1 day")
+        keyed.run_batches(once, checkpoint, lambda b, _: b.select("Receipt_ID").write.mode("append").parquet(out))
+
+    run()
+    add()
+    run()
+    return spark.read.parquet(out).groupBy(F.col("Receipt_ID").alias("receipt_id")).agg(F.count("*").alias("times"))

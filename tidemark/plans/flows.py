@@ -12,7 +12,7 @@ from time import monotonic
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.dates import clock
-from tidemark.operators import keyset, merge, metrics, quality, retention, state
+from tidemark.operators import digests, keyset, merge, metrics, quality, retention, state
 from tidemark.operators.curate import clean_table, with_checksum, with_ingestion
 from tidemark.session import new_dir
 from tidemark.sources.store import TableStore
@@ -21,11 +21,11 @@ from tidemark.specs import (
     FAILURE_SCHEMA,
     FINGERPRINT_SCHEMA,
     RUN_SCHEMA,
-    TASK_SCHEMA,
+    RESULT_SCHEMA,
     TableSpec,
 )
 
-CHECKPOINTS, FAILURES, RUNS = "sync_checkpoints", "sync_failures", "sync_runs"
+CHECKPOINTS, FAILURES, RUNS, RESULTS = "sync_checkpoints", "sync_failures", "sync_runs", "sync_results"
 
 # Fixed value: rows re-read per reconcile run.
 CHUNK_LIMIT = 5000
@@ -45,6 +45,8 @@ class TaskResult:
     duration: float = 0.0
     error: str | None = None
     known: int = 0
+    pruned: int = 0
+    lag_minutes: float | None = None  # of an incremental run: how far the target is behind after it
 
     @property
     def upserted(self) -> int:
@@ -149,20 +151,24 @@ class TableSync:
 
     # -- one batch ---------------------------------------------------------------------
 
-    def apply(self, spec: TableSpec, rows: DataFrame) -> Batch:
-        """Clean, validate, identify and merge a batch of source rows.
+    def apply(self, spec: TableSpec, rows: DataFrame, within: digests.Open | None = None) -> Batch:
+        """Clean, validate, identify and merge a batch of source rows, or those in open ranges of digests.
 
         1. one narrow pass writes the mapped rows to shared storage and counts them;
         2. rejects, if that pass saw any, go to the dead-letter table;
-        3. the last row of each key is compared with key and checksum of the target and
-           only new and changed rows are written; once they are there
-        4. the fingerprints of all seen keys are written, so that a fingerprint never
+        3. the last row of each key is compared with key and checksum of the target; if
+           any is new or changed, they are joined with the target into its next base;
+        4. then the fingerprints of all seen keys are written, so that a fingerprint never
            stands for a row that the target has not got.
+
+        Target and fingerprints are bucketed by key, so only rows of the batch are moved.
         """
         key = spec.key.target
         scan, identified = Observation(), Observation()
         good_key = F.when(F.col("_reason").isNull(), F.col(key))
         cleaned = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec))
+        if within:
+            cleaned = within.rows(cleaned.where("_reason IS NULL"), spec)
         cleaned = cleaned.observe(
             scan,
             F.count(F.lit(1)).alias("scanned"),
@@ -187,51 +193,52 @@ class TableSync:
                     odd = staged.where("checksum IS NULL").drop("checksum")
                     exact = self.store.stage(with_checksum(odd, spec), f"{path}/exact")
                     staged = staged.where("checksum IS NOT NULL").unionByName(exact)
-                within = F.col(key).between(seen["low"], seen["high"])
+                keys = F.col(key).between(seen["low"], seen["high"])
                 # Fingerprints as they were before this batch.
-                target, known = self.target(spec), self.fingerprints(spec)
-                self._merge(spec, staged, target.where(within), known, batch)
-                self._remember(spec, staged, known, within)
+                known = self.fingerprints(spec)
+                self._merge(spec, staged, known, keys, batch, f"{path}/changed")
+                self._remember(spec, staged, known)
         finally:
             self.store.drop(path)
         return batch
 
     def _merge(
-        self, spec: TableSpec, staged: DataFrame, target: DataFrame, known: DataFrame, batch: Batch
+        self, spec: TableSpec, staged: DataFrame, known: DataFrame, within: Column, batch: Batch, path: str
     ) -> None:
         key, merged, before = spec.key.target, Observation(), Observation()
         latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
         if self.skip_known:
             latest = latest.observe(before, F.count(F.lit(1)).alias("rows"))
             latest = merge.fingerprint_delta(latest, known, spec.source_table, key)
-        kinds = merge.classify(latest, target, key).observe(
+        target = self.target(spec)
+        latest = self.store.beside(spec.target_table, latest, key)
+        kinds = merge.classify(latest, target.where(within), key).observe(
             merged,
             *[
                 F.count_if(F.col("change_type") == k).alias(k)
                 for k in (merge.INSERT, merge.UPDATE, merge.UNCHANGED)
             ],
         )
-        changed = merge.stamp(kinds.where(F.col("change_type") != merge.UNCHANGED), spec, self.run_ts)
-        self.store.change(
-            spec.target_table, changed.select(*spec.raw_schema.fieldNames(), "change_type")
-        )
+        changed = kinds.where(F.col("change_type") != merge.UNCHANGED).drop("change_type", "old_created_at")
+        changed = self.store.stage(changed, path)
         counts = merged.get
         batch.inserted = counts[merge.INSERT]
         batch.updated = counts[merge.UPDATE]
         batch.unchanged = counts[merge.UNCHANGED]
         if self.skip_known:
             batch.known = before.get["rows"] - batch.inserted - batch.updated - batch.unchanged
+        if batch.inserted or batch.updated:
+            changed = self.store.beside(spec.target_table, changed, key)
+            rows = merge.upsert_changed(target, changed, spec, self.run_ts)
+            self.store.replace(spec.target_table, rows.select(spec.raw_schema.fieldNames()), key, in_place=True)
 
-    def _remember(
-        self, spec: TableSpec, staged: DataFrame, known: DataFrame, within: Column
-    ) -> None:
+    def _remember(self, spec: TableSpec, staged: DataFrame, known: DataFrame) -> None:
         key = spec.key.target
         narrow = merge.dedupe_last(staged.select(key, "checksum", "_seq"), key, ["_seq", "checksum"])
         latest = narrow.select(F.col(key).alias("entity_id"), "checksum")
-        old = known.withColumnRenamed("entity_id", key).where(within)
-        old = old.withColumnRenamed(key, "entity_id")
-        changes = merge.fingerprint_changes(old, latest, spec.source_table, self.run_ts)
-        self.store.change(self.fingerprint_table(spec), changes)
+        latest = self.store.beside(self.fingerprint_table(spec), latest, "entity_id")
+        rows = merge.upsert_fingerprints(known, latest, spec.source_table, self.run_ts, apart=True)
+        self.store.replace(self.fingerprint_table(spec), rows, "entity_id", in_place=True)
 
     # -- flows -------------------------------------------------------------------------
 
@@ -257,7 +264,11 @@ class TableSync:
         batch = self.apply(spec, keyset.after(source, spec, last))
         if batch.max_key is not None:
             self._advance(spec, sync_key=batch.max_key)
-        return self._result(spec, "incremental", batch, started)
+        result = self._result(spec, "incremental", batch, started)
+        if spec.date is not None:
+            behind = self.lag(spec, source).first()
+            result.lag_minutes = behind.lag_minutes if behind else None
+        return result
 
     def reconcile(
         self, spec: TableSpec, source: DataFrame, chunk_limit: int = CHUNK_LIMIT
@@ -270,6 +281,14 @@ class TableSync:
         self._advance(spec, reconcile_key=end, reset=end is None)
         return self._result(spec, "reconcile", batch, started)
 
+    def repair(self, spec: TableSpec, source: DataFrame) -> TaskResult:
+        """A reconcile of the whole table at once: range digests tell where source and target differ, and only rows
+        from there are merged. Neither checkpoint moves. Rows gone from the source stay in the target."""
+        started = monotonic()
+        found = digests.open_ranges(source, self.target(spec), spec)
+        batch = Batch(0, 0, 0, None) if found is None else self.apply(spec, found.source(source, spec), found)
+        return self._result(spec, "repair", batch, started)
+
     def full(self, spec: TableSpec, source: DataFrame) -> TaskResult:
         """All rows of a master table. Rows gone from the source stay in the target."""
         started = monotonic()
@@ -281,35 +300,42 @@ class TableSync:
         """How far the stored table is behind its source; see ``metrics.lag_alerts``."""
         return metrics.sync_lag(source, self.target(spec), spec)
 
+    def runs(self) -> DataFrame:
+        """The run log: of each run its last entry. A run that has an end is no longer open, whatever came first."""
+        log = self.store.read(RUNS, RUN_SCHEMA)
+        return merge.dedupe_last(log, "cycle_id", ["end_time"])
+
+    def results(self) -> DataFrame:
+        """Task results of all cycles."""
+        return self.store.read(RESULTS, RESULT_SCHEMA)
+
     def prune(self, spec: TableSpec, days: int = 0) -> int:
-        """Take processed rows past their retention out of the target; returns how many."""
+        """Take processed rows past their retention out of the target; returns how many.
+
+        Nothing is written where no row has to go.
+        """
         if not self.store.exists(spec.target_table):
             return 0
-        gone = self.target(spec).where(retention.is_prunable(spec, self.run_ts, days))
-        layer = self.store.change(
-            spec.target_table,
-            gone.select(spec.key.target, F.lit(merge.DELETE).alias("change_type")),
-        )
-        return self.store.count_layer(layer)
+        target = self.target(spec)
+        gone = target.where(retention.is_prunable(spec, self.run_ts, days)).count()
+        if gone:
+            self.store.replace(
+                spec.target_table, retention.prune(target, spec, self.run_ts, days), spec.key.target, in_place=True
+            )
+        return gone
 
     def mark_processed(self, spec: TableSpec, keys: DataFrame) -> None:
         """What a downstream consumer does with the rows it has taken."""
         key = spec.key.target
-        rows = self.target(spec).join(keys.select(key).distinct(), key, "left_semi")
-        rows = rows.withColumn("is_processed", F.lit(True))
-        self.store.change(
-            spec.target_table,
-            rows.select(*spec.raw_schema.fieldNames(), F.lit(merge.UPDATE).alias("change_type")),
-        )
-
-    def compact(self, spec: TableSpec, **policy: float) -> None:
-        self.store.compact(spec.target_table, spec.raw_schema, spec.key.target, **policy)
-        self.store.compact(self.fingerprint_table(spec), FINGERPRINT_SCHEMA, "entity_id", **policy)
+        taken = keys.select(key, F.lit(True).alias("_taken")).distinct()
+        rows = self.target(spec).join(taken, key, "left")
+        rows = rows.withColumn("is_processed", F.coalesce("_taken", "is_processed"))
+        self.store.replace(spec.target_table, rows.select(spec.raw_schema.fieldNames()), key, in_place=True)
 
 
 def _isolated(
-    sync: TableSync, spec: TableSpec, mode: str, run: Callable[[], TaskResult | None]
-) -> TaskResult | None:
+    sync: TableSync, spec: TableSpec, mode: str, run: Callable[[], TaskResult]
+) -> TaskResult:
     """A task that fails is reported and does not stop the others."""
     started = monotonic()
     try:
@@ -322,19 +348,22 @@ def _isolated(
         )
 
 
+def _pruned(sync: TableSync, specs: list[TableSpec], days: int, workers: int) -> list[TaskResult]:
+    def one(spec: TableSpec) -> TaskResult:
+        started = monotonic()
+        gone = sync.prune(spec, days)
+        return TaskResult(sync.cycle_id, spec.source_table, "prune", duration=round(monotonic() - started, 3), pruned=gone)
+
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(lambda spec: _isolated(sync, spec, "prune", lambda: one(spec)), specs))
+
+
 def prune_all(
     sync: TableSync, specs: list[TableSpec], days: int = 0, workers: int = 2
 ) -> DataFrame:
     """Prune every table: (table_name, pruned, error), one row per table."""
-
-    def one(spec: TableSpec) -> tuple[str, int | None, str | None]:
-        try:
-            return spec.target_table, sync.prune(spec, days), None
-        except Exception as e:
-            return spec.target_table, None, str(e).split("\n")[0]
-
-    with ThreadPoolExecutor(workers) as pool:
-        rows = list(pool.map(one, specs))
+    done = _pruned(sync, specs, days, workers)
+    rows = [(s.target_table, None if r.error else r.pruned, r.error) for s, r in zip(specs, done, strict=True)]
     return sync.spark.createDataFrame(rows, "table_name string, pruned long, error string")
 
 
@@ -349,21 +378,25 @@ def sync_cycle(
     """One cycle: prune, masters in full, transactions incrementally and by one chunk.
 
     Tables run side by side, the tasks of one table one after the other. Returns the task
-    results; the run log holds their totals.
+    results, prunes among them; they are stored as well, and the run log holds their totals.
+    ``metrics.lag_alerts`` tells which tables are too far behind. Entries are appended to the
+    logs: a run that starts, one that ends, and older ones that never did.
     """
     store, spark = sync.store, sync.spark
-    log = state.interrupt_stale_runs(store.read(RUNS, RUN_SCHEMA, "cycle_id"), sync.run_ts)
+    open_runs = sync.runs().where(F.col("status") == state.RUNNING)
+    stale = state.interrupt_stale_runs(open_runs, sync.run_ts)
     start = spark.range(1, numPartitions=1).select(
         F.lit(sync.cycle_id).alias("cycle_id"), clock(sync.run_ts).alias("start_time")
     )
-    store.replace(RUNS, state.open_runs(log, start).coalesce(1))
+    store.append(RUNS, state.open_runs(stale, start).coalesce(1))
     started = monotonic()
     try:
-        tasks, pruned = _run_tasks(sync, sources, specs, retention_days, chunk_limit, workers)
+        tasks = _run_tasks(sync, sources, specs, retention_days, chunk_limit, workers)
+        store.append(RESULTS, tasks.coalesce(1))
     except BaseException:
-        _close_run(sync, monotonic() - started, None, True)
+        _close_run(sync, monotonic() - started, None)
         raise
-    _close_run(sync, monotonic() - started, tasks, pruned > 0)
+    _close_run(sync, monotonic() - started, tasks)
     return tasks
 
 
@@ -374,9 +407,9 @@ def _run_tasks(
     retention_days: int,
     chunk_limit: int,
     workers: int,
-) -> tuple[DataFrame, int]:
-    """All tasks of a cycle, and how many tables could not be pruned."""
-    pruned = prune_all(sync, specs, retention_days, workers).where("error IS NOT NULL").count()
+) -> DataFrame:
+    """Results of all tasks of a cycle."""
+    pruned = _pruned(sync, specs, retention_days, workers)
 
     def table(spec: TableSpec) -> list[TaskResult]:
         name = spec.source_table
@@ -387,17 +420,15 @@ def _run_tasks(
                 "incremental": lambda: sync.incremental(spec, sources[name]),
                 "reconcile": lambda: sync.reconcile(spec, sources[name], chunk_limit),
             }
-        done = [_isolated(sync, spec, mode, run) for mode, run in steps.items()]
-        folded = _isolated(sync, spec, "compact", lambda: sync.compact(spec))
-        return done if folded is None else [*done, folded]
+        return [_isolated(sync, spec, mode, run) for mode, run in steps.items()]
 
     with ThreadPoolExecutor(workers) as pool:
-        results = [r for rs in pool.map(table, specs) for r in rs]
-    rows = [tuple(asdict(r)[c] for c in TASK_SCHEMA.fieldNames()) for r in results]
-    return sync.spark.createDataFrame(rows, TASK_SCHEMA), pruned
+        results = [*pruned, *[r for rs in pool.map(table, specs) for r in rs]]
+    rows = [tuple(asdict(r)[c] for c in RESULT_SCHEMA.fieldNames()) for r in results]
+    return sync.spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def _close_run(sync: TableSync, seconds: float, tasks: DataFrame | None, failed: bool) -> None:
+def _close_run(sync: TableSync, seconds: float, tasks: DataFrame | None) -> None:
     """End of the run in the log, with the totals of its tasks where it got that far."""
     store, spark = sync.store, sync.spark
     total = spark.createDataFrame([(sync.cycle_id, seconds)], "cycle_id string, duration double")
@@ -417,7 +448,7 @@ def _close_run(sync: TableSync, seconds: float, tasks: DataFrame | None, failed:
         "rows_scanned",
         "rows_updated",
         "rows_failed",
-        F.when(F.lit(failed), state.FAILED).otherwise(F.col("status")).alias("status"),
+        "status",
     )
-    log = store.read(RUNS, RUN_SCHEMA, "cycle_id")
-    store.replace(RUNS, state.close_runs(log, closing).coalesce(1))
+    mine = sync.runs().where(F.col("cycle_id") == sync.cycle_id)
+    store.append(RUNS, state.close_runs(mine, closing).coalesce(1))

@@ -184,10 +184,17 @@ def target_after(role: str, columns: list[str], where: str = "TRUE") -> str:
     return f"SELECT {', '.join(out)} FROM {change(role)} WHERE {where}"
 
 
+NEWEST = {"sales": "o_orderdate", "receipts": "ts", "returns": "l_shipdate"}
+
+
 def cycle_role(role: str) -> str:
-    """Counters of the second cycle's tasks for one transaction table."""
+    """Counters of the second cycle's tasks for one transaction table, and its lag after the incremental one."""
     table, key = ROLES[role][:2]
     limit = CHUNK_LIMIT
+    where = " WHERE l_returnflag = 'R'" if role == "returns" else ""
+    source_max = f"(SELECT max({NEWEST[role]}) FROM {TABLES[role]}{where})"
+    target_max = "(SELECT max(created_at) FROM (SELECT created_at FROM old_last UNION ALL SELECT created_at FROM inc))"
+    behind = f"round(greatest(0.0, (epoch_us({source_max}) - epoch_us({target_max})) / 60e6), 4)"
     return f"""(WITH new_rows AS (FROM {mapped(role)}), old_rows AS (FROM {mapped(role, OLD[role])}),
  new_last AS (FROM {mapped(role, dedupe=True)}), old_last AS (FROM {mapped(role, OLD[role], dedupe=True)}),
  top AS (SELECT max(ord) AS k FROM old_rows),
@@ -202,18 +209,26 @@ def cycle_role(role: str) -> str:
  SELECT 'cycle-2' AS cycle_id, '{table}' AS table_name, 'incremental' AS mode,
   (SELECT count(*) FROM new_rows WHERE ord > (SELECT k FROM top)) AS scanned, count(*) FILTER (kind = 'insert') AS inserted,
   count(*) FILTER (kind = 'update') AS updated, count(*) FILTER (kind = 'unchanged') AS unchanged,
-  (SELECT count(*) FROM new_rows WHERE ord > (SELECT k FROM top)) - count(*) AS superseded, CAST(0 AS BIGINT) AS errors FROM inc
+  (SELECT count(*) FROM new_rows WHERE ord > (SELECT k FROM top)) - count(*) AS superseded, CAST(0 AS BIGINT) AS errors,
+  CAST(0 AS BIGINT) AS pruned, {behind} AS lag_minutes FROM inc
  UNION ALL SELECT 'cycle-2', '{table}', 'reconcile',
   (SELECT count(*) FROM new_rows WHERE coalesce(ord > (SELECT k FROM k1), TRUE) AND coalesce(ord <= (SELECT k FROM k2), TRUE)),
   count(*) FILTER (kind = 'insert'), count(*) FILTER (kind = 'update'), count(*) FILTER (kind = 'unchanged'),
   (SELECT count(*) FROM new_rows WHERE coalesce(ord > (SELECT k FROM k1), TRUE) AND coalesce(ord <= (SELECT k FROM k2), TRUE)) - count(*),
-  CAST(0 AS BIGINT) FROM chunk)"""
+  CAST(0 AS BIGINT), CAST(0 AS BIGINT), NULL FROM chunk)"""
 
 
 def cycle_master(role: str) -> str:
     return f"""(SELECT 'cycle-2' AS cycle_id, '{ROLES[role][0]}' AS table_name, 'full' AS mode, count(*) AS scanned,
  count(*) FILTER (change_type = 'insert') AS inserted, count(*) FILTER (change_type = 'update') AS updated,
- count(*) FILTER (change_type = 'unchanged') AS unchanged, CAST(0 AS BIGINT) AS superseded, CAST(0 AS BIGINT) AS errors FROM {change(role)})"""
+ count(*) FILTER (change_type = 'unchanged') AS unchanged, CAST(0 AS BIGINT) AS superseded, CAST(0 AS BIGINT) AS errors,
+ CAST(0 AS BIGINT) AS pruned, CAST(NULL AS DOUBLE) AS lag_minutes FROM {change(role)})"""
+
+
+def cycle_prune(role: str) -> str:
+    """No consumer has marked a row, so nothing is pruned."""
+    zeros = ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in ("scanned", "inserted", "updated", "unchanged", "superseded", "errors", "pruned"))
+    return f"(SELECT 'cycle-2' AS cycle_id, '{ROLES[role][0]}' AS table_name, 'prune' AS mode, {zeros}, CAST(NULL AS DOUBLE) AS lag_minutes)"
 
 
 def lag(role: str, newest: str, table: str) -> str:
@@ -356,12 +371,22 @@ FROM {FILES} b FULL JOIN {LATER_FILES} n ON n.nation = b.nation""",
     "incremental_sync": f"""SELECT * EXCLUDE (ord) REPLACE ({when('created_at')} AS created_at), 'BILLING' AS source_system, FALSE AS is_processed FROM (
  SELECT *, '{FIRST}' AS updated_at FROM {mapped('receipts', OLD_EVENTS)} UNION ALL
  SELECT *, '{SECOND}' AS updated_at FROM {mapped('receipts')} WHERE ord > (SELECT max(event_id) FROM {OLD_EVENTS}))""",
+    "range_digests": f"""WITH s AS (FROM {mapped("sales", "(SELECT * FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderkey % 2 = 0)")}),
+ t AS (FROM {mapped("sales", OLD_ORDERS)})
+ SELECT coalesce(s.bill_id, t.bill_id) AS bill_id, CASE WHEN t.bill_id IS NULL THEN 'insert' WHEN s.bill_id IS NULL THEN 'removed' ELSE 'update' END AS difference
+ FROM s FULL JOIN t ON s.bill_id = t.bill_id WHERE s.checksum IS DISTINCT FROM t.checksum""",
+    "repair_sync": target_after("sales", ["bill_id", "net_amount", "checksum", "created_at", "updated_at"]),
     "reconcile_chunk": target_after("sales", ["bill_id", "net_amount", "checksum", "created_at", "updated_at"]),
     "full_sync": union([
         f"""SELECT '{TARGETS[r]}' AS table_name, {ROLES[r][1]} AS entity_id, raw_id, checksum, FALSE AS is_processed,
  CASE WHEN change_type = 'unchanged' THEN '{FIRST}' ELSE '{SECOND}' END AS updated_at FROM {change(r)}""" for r in ("cities", "customers")]),
     "late_rows": f"""SELECT bill_id, CASE WHEN is_new AND ord <= (SELECT max(o_orderkey) FROM {OLD_ORDERS}) THEN 'reconcile' ELSE 'incremental' END AS found_by
  FROM {change('sales')}""",
-    "sync_cycle": union([f"FROM {cycle_master(r)}" for r in ("cities", "customers")] + [f"FROM {cycle_role(r)}" for r in ("sales", "receipts", "returns")]),
+    "sync_cycle": union([f"FROM {cycle_master(r)}" for r in ("cities", "customers")] + [f"FROM {cycle_role(r)}" for r in ("sales", "receipts", "returns")]
+                        + [f"FROM {cycle_prune(r)}" for r in ROLES]),
+    "stream_classify": f"""SELECT receipt_id, change_type, checksum, CASE WHEN is_new THEN '{SECOND}' ELSE '{FIRST}' END AS first_seen_at,
+ CASE WHEN change_type = 'unchanged' THEN '{FIRST}' ELSE '{SECOND}' END AS last_changed_at FROM {change('receipts')}""",
+    "stream_once": f"""SELECT CAST(receipt_id AS BIGINT) AS receipt_id, CASE change_type WHEN 'update' THEN CAST(2 AS BIGINT) ELSE 1 END AS times
+ FROM {change('receipts')}""",
     "stream_sync": f"""SELECT receipt_id, checksum, raw_id, {when('created_at')} AS created_at, '{FIRST}' AS updated_at FROM {mapped('receipts')}""",
 }

@@ -7,13 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Clock and key semantics rely on UTC; the rest lets Spark re-plan from measured sizes and
-# write insert and update files of one task without sorting them apart.
+# Clock and key semantics rely on UTC; the rest lets Spark re-plan from measured sizes, and read bucketed tables always
+# by bucket and, where a bucket is one sorted file, in the order of that file.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

@@ -1,22 +1,29 @@
-"""Target and state tables as layered parquet folders in shared storage.
+"""Target and state tables as Parquet in shared storage.
 
-A table is a base layer and the change layers after it, each written once by one Spark job
-and valid as soon as Spark has put its ``_SUCCESS`` file there. A sync run therefore costs
-what it changed, not the size of the table; ``compact`` folds the layers into a new base.
-Nothing is ever overwritten, so a reader and a writer do not meet. One writer per table.
+A table with a key is a table of Spark's bucketed by that key and sorted by it, one file per bucket. A merge therefore
+moves and sorts only its batch: the stored side is read bucket by bucket in key order, and the joined rows lie already
+where they are written. A write puts a whole new base beside the current one, which counts from the moment Spark has put
+its ``_SUCCESS`` file there; the one before it stays for those who still read it. Logs have no key and are appended to.
+One writer per table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import hashlib
 
-from tidemark.operators.merge import DELETE, INSERT, dedupe_last
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+DONE = "_SUCCESS"  # Spark's mark of a finished write
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under ``root``. A new keyed table gets ``buckets`` buckets, by default as many as a shuffle has partitions;
+    it keeps that number. Buckets should be so many that one of them fits a task."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- layout ------------------------------------------------------------------------
 
@@ -31,130 +38,86 @@ class TableStore:
         fs, p = self._hadoop(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _versions(self, table: str, layer: str, complete: bool = True) -> list[int]:
-        names = [c for c in self._children(self._path(table, layer)) if c.startswith("v=")]
-        found = sorted(int(n[2:]) for n in names)
-        if not complete:
-            return found
-        return [v for v in found if "_SUCCESS" in self._children(self._path(table, layer, f"v={v}"))]
-
-    def layers(self, table: str) -> tuple[int | None, list[int]]:
-        """Newest complete base version and the complete change versions after it."""
-        base = (self._versions(table, "base") or [None])[-1]
-        return base, [v for v in self._versions(table, "delta") if base is None or v > base]
-
-    def _change_types(self, table: str, version: int) -> list[str]:
-        names = self._children(self._path(table, "delta", f"v={version}"))
-        return [n.split("=")[1] for n in names if n.startswith("change_type=")]
+    def bases(self, table: str, complete: bool = True) -> list[str]:
+        """Folders of the bases of a table, oldest first: base-<number>-<buckets>."""
+        found = sorted((c for c in self._children(self._path(table)) if c.startswith("base-")), key=lambda c: int(c.split("-")[1]))
+        return [c for c in found if not complete or DONE in self._children(self._path(table, c))]
 
     def exists(self, table: str) -> bool:
-        base, deltas = self.layers(table)
-        return base is not None or bool(deltas)
+        return bool(self.bases(table)) or DONE in self._children(self._path(table, "log"))
 
-    def size(self, path: str) -> int:
-        fs, p = self._hadoop(path)
-        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    def tables(self, folder: str) -> list[str]:
+        return sorted(self._children(self._path(folder)))
 
-    def _next(self, table: str) -> int:
-        used = self._versions(table, "base", False) + self._versions(table, "delta", False)
-        return max(used, default=0) + 1
+    def _name(self, path: str) -> str:
+        """What the session calls the table in a folder."""
+        return f"tidemark_{hashlib.md5(path.encode()).hexdigest()}"
 
     # -- reading -----------------------------------------------------------------------
 
     def read(self, table: str, schema: T.StructType, key: str | None = None) -> DataFrame:
-        """The current rows of a table; an empty frame of its schema where there is none.
-
-        Inserted rows are new keys, so they are simply added. Only keys with a later update
-        or delete, found by folder, are taken out below and replaced by their newest row.
+        """The current rows of a table; an empty frame of its schema where there is none."""
+        found = self.bases(table)
+        if found:
+            path, buckets = self._path(table, found[-1]), int(found[-1].split("-")[2])
+            if not (key and buckets):
+                return self.spark.read.schema(schema).parquet(path)
+            return self._bucketed(path, schema, key, buckets)
+        if self.exists(table):
+            return self.spark.read.schema(schema).parquet(self._path(table, "log"))
+        return self.spark.createDataFrame([], schema)
+
+    def _bucketed(self, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+        """The folder as a bucketed table; the session that did not write it is told its layout."""
+        name = self._name(path)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            where = path.replace("\\", "\\\\").replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                f"INTO {buckets} BUCKETS LOCATION '{where}'"
+            )
+        return self.spark.table(name)
+
+    def beside(self, table: str, rows: DataFrame, key: str) -> DataFrame:
+        """``rows`` dealt as the buckets of the table are, for a join with it.
+
+        Spark does so by itself where a shuffle has as many partitions as the table has buckets; where it has more, it
+        would rather move the table.
         """
-        base, deltas = self.layers(table)
-        reader = self.spark.read.schema(schema)
-        rows = None if base is None else reader.parquet(self._path(table, "base", f"v={base}"))
-        kinds = {v: self._change_types(table, v) for v in deltas}
-        filled = [v for v in deltas if kinds[v]]
-        if not filled:
-            return self.spark.createDataFrame([], schema) if rows is None else rows
-        root = self._path(table, "delta")
-        changes = self.spark.read.schema(schema).option("basePath", root).parquet(
-            *[f"{root}/v={v}" for v in filled]
-        )
-        inserts = changes.where(F.col("change_type") == INSERT).select(schema.fieldNames())
-        rows = inserts if rows is None else rows.unionByName(inserts)
-        if all(kinds[v] == [INSERT] for v in filled):
+        found = self.bases(table)
+        buckets = int(found[-1].split("-")[2]) if found else 0
+        if buckets in (0, int(self.spark.conf.get("spark.sql.shuffle.partitions"))):
             return rows
-        moved = changes.where(F.col("change_type") != INSERT).select(key).distinct()
-        latest = dedupe_last(changes.join(moved, key, "left_semi"), key, ["v"])
-        kept = rows.join(moved, key, "left_anti")
-        return kept.unionByName(
-            latest.where(F.col("change_type") != DELETE).select(schema.fieldNames())
-        )
+        return rows.repartition(buckets, key)
 
     # -- writing -----------------------------------------------------------------------
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        """A new base layer; ``df`` may read the layers before it."""
-        df.write.parquet(self._path(table, "base", f"v={self._next(table)}"))
-
-    def append(self, table: str, df: DataFrame) -> None:
-        """Add rows to a table without keys."""
-        self.change(table, df.withColumn("change_type", F.lit(INSERT)))
-
-    def tables(self, folder: str) -> list[str]:
-        return sorted(self._children(self._path(folder)))
+    def replace(self, table: str, rows: DataFrame, key: str | None = None, in_place: bool = False) -> None:
+        """A new base; ``rows`` may read the one before it.
 
-    def change(self, table: str, df: DataFrame) -> str:
-        """Write a change layer and return its path: full rows with ``change_type`` insert
-        or update; of deleted rows only the key is needed. A layer without rows is taken away."""
-        path = self._path(table, "delta", f"v={self._next(table)}")
-        df.write.partitionBy("change_type").parquet(path)
-        if not any(c.startswith("change_type=") for c in self._children(path)):
-            self.drop(path)
-        return path
-
-    def count_layer(self, path: str) -> int:
-        """Rows of a written layer, from its file footers."""
-        if not any(c.startswith("change_type=") for c in self._children(path)):
-            return 0
-        return self.spark.read.schema("change_type string").parquet(path).count()
-
-    def compact(
-        self,
-        table: str,
-        schema: T.StructType,
-        key: str | None = None,
-        max_layers: int = 16,
-        max_share: float = 0.3,
-    ) -> bool:
-        """Fold the change layers into a new base once they are many or large.
-
-        The base is ordered by key over all files, so that a key range reads few of them.
+        ``in_place`` tells that ``rows`` come from the table's own buckets (a filter of it, or a join with it on the left
+        or in full), so that each task holds one bucket and nothing is moved.
         """
-        base, deltas = self.layers(table)
-        bytes_in = [self.size(self._path(table, "delta", f"v={v}")) for v in deltas]
-        base_bytes = 0 if base is None else self.size(self._path(table, "base", f"v={base}"))
-        if not deltas or (len(deltas) < max_layers and sum(bytes_in) <= max_share * base_bytes):
-            return False
-        rows = self.read(table, schema, key)
-        if key:
-            rows = rows.repartitionByRange(key).sortWithinPartitions(key)
-        self.replace(table, rows)
-        return True
-
-    def vacuum(self, table: str) -> list[str]:
-        """Remove the layers below the newest base. Call when no reader is older than it."""
-        base, _ = self.layers(table)
-        if base is None:
-            return []
-        gone = [
-            self._path(table, layer, f"v={v}")
-            for layer in ("base", "delta")
-            for v in self._versions(table, layer, False)
-            if v < base
-        ]
-        for path in gone:
-            fs, p = self._hadoop(path)
-            fs.delete(p, True)
-        return gone
+        old = self.bases(table, False)
+        number = int(old[-1].split("-")[1]) + 1 if old else 1
+        whole = self.bases(table)
+        buckets = (int(whole[-1].split("-")[2]) if whole else 0) or self.buckets
+        path = self._path(table, f"base-{number}-{buckets if key else 0}")
+        if key is None:
+            rows.write.parquet(path)
+        else:
+            if not (in_place and whole):
+                rows = rows.repartition(buckets, key)
+            rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(self._name(path))
+        for name in old:
+            if not whole or name != whole[-1]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._name(self._path(table, name))}")
+                self.drop(self._path(table, name))
+
+    def append(self, table: str, rows: DataFrame) -> None:
+        """Add rows to a table without a key."""
+        rows.write.mode("append").parquet(self._path(table, "log"))
 
     # -- staging -----------------------------------------------------------------------
 

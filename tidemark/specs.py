@@ -209,3 +209,8 @@ TASK_SCHEMA = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+
+# What a cycle stores of each task.
+RESULT_SCHEMA = T.StructType(
+    [*TASK_SCHEMA, T.StructField("pruned", T.LongType()), T.StructField("lag_minutes", T.DoubleType())]
+)
