@@ -34,17 +34,35 @@ def test_no_link_is_lost_in_a_crowded_label(spark):
     assert set(map(tuple, run(spark, rows).collect())) == plain(rows)
 
 
-def test_hashed_passes_reach_their_recall():
-    """Pairs at the very threshold meet in some pass, wherever they stand."""
-    settings, width, n = embedding_dedup.Settings(cosine=0.94), 64, 4000
-    x = np.array(crowd(2 * n, width, 6, 0.9))
+def test_many_passes_over_small_windows(spark):
+    """Windows far below the label, so that several passes and borders between tasks decide."""
+    settings = dict(window=64, part=4)
+    assert embedding_dedup.Settings(**settings).passes(3000, 0.36) > 20
+    rows = [(k, v, 1 + (k % 10 == 0)) for k, v in enumerate(crowd(3000, 64, 6, 0.8))]
+    got = {r.vec_id: r for r in run(spark, rows, **settings).collect()}
+    want = {}
+    for label in (1, 2):
+        some = [r for r in rows if r[2] == label]
+        want |= {some[i][0]: (n, some[low][0]) for i, n, low, _ in plain(some)}
+    linked = [i for i, (n, _) in want.items() if n]
+    assert sum(got[i].n_links == want[i][0] for i in linked) >= 0.995 * len(linked) > 1000
+    assert all(got[i].n_links <= n for i, (n, _) in want.items())
+
+
+def test_pairs_meet_in_a_window_as_often_as_the_passes_promise():
+    """Pairs at the very threshold against the model that sets the passes."""
+    settings, width, n = embedding_dedup.Settings(recall=0.99, window=64), 64, 4000
+    x = np.array(crowd(2 * n, width, 6, 0.8))[:n]
     draw = np.random.default_rng(8)
-    aside = draw.standard_normal(x.shape)
-    aside -= (aside * x).sum(axis=1, keepdims=True) * x
-    y = 0.94 * x + np.sqrt(1 - 0.94**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
-    cells = embedding_dedup.Cells(settings, width)
-    for lines in (4, 12):
-        met = np.zeros(len(x), bool)
-        for turn in range(settings.passes(lines)):
-            met |= cells.keys(x, turn, lines)[:, -1] == cells.keys(y, turn, lines)[:, -1]
-        assert met.mean() >= settings.recall - 0.002
+    aside = draw.standard_normal((200, width))
+    aside -= (aside * x[:200]).sum(axis=1, keepdims=True) * x[:200]
+    y = settings.cosine * x[:200] + np.sqrt(1 - settings.cosine**2) * aside / np.linalg.norm(aside, axis=1, keepdims=True)
+    whole = np.concatenate([x, y])
+    mean = whole.mean(axis=0)
+    met = np.zeros(200, bool)
+    for turn in range(settings.passes(len(whole), 1 - float(mean @ mean))):
+        bits = (whole - mean) @ np.random.default_rng([1, turn]).standard_normal((width, embedding_dedup.BITS)) > 0
+        place = np.empty(len(whole), int)
+        place[np.lexsort(bits.T[::-1])] = np.arange(len(whole))
+        met |= np.abs(place[:200] - place[n:]) <= settings.window
+    assert met.mean() >= settings.recall - 0.01

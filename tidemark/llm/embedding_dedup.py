@@ -1,12 +1,12 @@
-"""Near-duplicate vectors by hashed passes in blocks.
-
-In each pass the vectors of a label are put into cells by the places of their projections on random lines, and all
-vectors of a cell are compared, block by block. A projection is cut into steps much wider than the distance at the
-threshold, so two vectors that link share a cell with a probability that neither the rest of the label nor its centre
-changes; the passes follow from that and the recall wanted. How many lines make a cell is the cheapest number by the
-cells counted in each label; without any a label is one cell and nothing can be lost. Pairs whose cosine reaches the
-threshold are joined; components over all passes are the groups. Links within a group are then counted exactly: members
-within reach of the group's centre are linked by the triangle inequality, and only the others are compared.
+"""Near-duplicate vectors by sorted projection passes.
+
+In each pass the vectors of a label are ordered by the signs of their projections on random lines, one after the other
+as the bits of one number, and every vector is compared with those of a window that follow it. Vectors are centred by
+the mean of their label first, so that a label that crowds about a topic is cut like any other. How many passes a label
+takes follows from its rows, its spread and the recall wanted; a label that fits a window needs one. Pairs whose cosine
+reaches the threshold are joined; components over all passes are the groups. Links within a group are then counted
+exactly: members within reach of the group's centre are linked by the triangle inequality, and only the others are
+compared.
 """
 
 from __future__ import annotations
@@ -17,141 +17,209 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import column, connected, stage
+from tidemark.session import new_dir
 
 LEVELS = 32  # rings of equal width about a centre, up to twice the angle of the threshold; the last holds all beyond
 SLACK = 1e-6  # radians left for rounding where a bound decides
-LINES = (0, 4, 8, 12, 16, 20, 24, 28, 32)  # numbers of lines a cell may have
+BITS = 62  # lines of a pass; the order of a label of any size is settled by fewer
+CHUNK = 512  # rows compared at once with the window behind them
 
 
 @dataclass(frozen=True)
 class Settings:
     cosine: float = 0.93
-    recall: float = 0.999  # share of links at the very threshold to be found; closer ones are missed less
-    step: float = 8.0  # width of a step on a line, in distances at the threshold
-    move: int = 2000  # comparisons that cost as much as a vector moved in one more pass
-    block: int = 256  # vectors compared at once
+    recall: float = 0.9999  # share of links at the very threshold to be found; closer ones are missed less
+    window: int = 1024  # rows behind a row, in the order of a pass, that it is compared with
+    part: int = 16  # windows that one task compares
+    block: int = 256  # vectors compared at once when links are counted
     seed: int = 20240602
 
-    def passes(self, lines: int) -> int:
-        """Passes that reach the recall with cells of so many lines."""
-        far = self.step  # two normal projections this far apart, in their spread, share a step with this probability:
-        share = math.erf(far / math.sqrt(2)) - math.sqrt(2 / math.pi) / far * (1 - math.exp(-far * far / 2))
-        return math.ceil(math.log(1 - self.recall) / math.log1p(-(share**lines))) if lines else 1
+    def passes(self, rows: int, spread: float) -> int:
+        """Passes that reach the recall in a label of so many rows, whose vectors have this mean squared distance to
+        their mean.
+
+        Two rows stand in one window if they agree on as many first bits as it takes to cut the label into windows.
+        Bits agree by the angle that two vectors of a link have as seen from the mean: a right one at the most.
+        """
+        bits = max(0, math.ceil(math.log2(max(1, rows) / self.window)))
+        if not bits:
+            return 1
+        cosine = 1 - (1 - self.cosine) / spread if spread > 0 else 0.0
+        agree = 1 - math.acos(min(1.0, max(0.0, cosine))) / math.pi
+        return max(1, math.ceil(math.log(1 - self.recall) / math.log1p(-(agree**bits))))
 
 
 def vectors(table: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """vec_id, label, x: unit vectors in double precision of the rows that can link; all others are left out."""
+    """vec_id, label, x, raw: unit vectors in double precision, and as they were, of the rows that can link; no others."""
     raw = column(table, vector_col).cast("array<double>")
-    rows = table.select(column(table, id_col).alias("vec_id"), column(table, label_col).alias("label"), raw.alias("x"))
+    rows = table.select(
+        column(table, id_col).alias("vec_id"), column(table, label_col).alias("label"), raw.alias("x"), column(table, vector_col).alias("raw")
+    )
     largest = F.aggregate("x", F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v)))
     broken = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     # Scaling by the largest component first keeps squares of huge and of tiny values within range.
     scaled = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND x IS NOT NULL").where(F.size("x") > 0).where(~broken)
     scaled = scaled.withColumn("largest", largest).where("largest > 0").withColumn("x", F.transform("x", lambda v: v / F.col("largest")))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return scaled.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("x"))
+    return scaled.withColumn("norm", norm).select("vec_id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("x"), "raw")
 
 
 def matrix(values: pa.ListArray) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
-class Cells:
-    """Cells of unit vectors of one width in a pass, for each number of lines up to the last."""
+def units(values: pa.ListArray) -> np.ndarray:
+    """Rows as unit vectors in double precision."""
+    x = matrix(values).astype(float)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
 
-    def __init__(self, settings: Settings, width: int) -> None:
-        self.settings, self.width = settings, width
-        self.drawn: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+def labels(rows: DataFrame, settings: Settings) -> DataFrame:
+    """label, width, mean, passes: one row per label and width."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            width = batch.column("width").to_numpy()
+            for w in np.unique(width).tolist():
+                some = batch.filter(pa.array(width == w))
+                codes = some.column("label").dictionary_encode()
+                of, x = codes.indices.to_numpy(), units(some.column("raw"))
+                n, sums = np.bincount(of), np.zeros((len(codes.dictionary), w))
+                np.add.at(sums, of, x)
+                at = np.repeat(np.arange(len(n)), w)
+                yield pa.RecordBatch.from_arrays(
+                    [codes.dictionary.take(pa.array(at)), pa.array(np.full(len(at), w), pa.int32()), pa.array(np.tile(np.arange(w), len(n)), pa.int32()),
+                     pa.array(n[at].astype(np.int64)), pa.array(sums.ravel())],
+                    ["label", "width", "d", "n", "s"],
+                )
+
+    names = [rows.schema["label"], T.StructField("width", T.IntegerType()), T.StructField("d", T.IntegerType()),
+             T.StructField("n", T.LongType()), T.StructField("s", T.DoubleType())]
+    sums = rows.select("label", "width", "raw").mapInArrow(add, T.StructType(names))
+    means = sums.groupBy("label", "width", "d").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    each = means.groupBy("label", "width").agg(
+        F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("d", (F.col("s") / F.col("n")).alias("m")))).alias("c")
+    )
+    each = each.select("label", "width", "n", F.transform("c", lambda c: c["m"]).alias("mean"))
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spread = [1 - float(np.square(m.values.to_numpy()).sum()) for m in batch.column("mean")]
+            n = batch.column("n").to_pylist()
+            yield batch.drop_columns(["n"]).append_column("passes", pa.array(map(settings.passes, n, spread), pa.int32()))
 
-    def keys(self, x: np.ndarray, turn: int, lines: int) -> np.ndarray:
-        """One column for each of 1 to ``lines`` lines."""
-        if turn not in self.drawn:
-            draw = np.random.default_rng([self.settings.seed, self.width, turn])
-            planes, shift = draw.standard_normal((self.width, LINES[-1])), draw.random(LINES[-1])
-            self.drawn[turn] = planes, shift, draw.integers(-(1 << 63), 1 << 63, size=LINES[-1], dtype=np.int64) | 1
-        planes, shift, weights = self.drawn[turn]
-        step = self.settings.step * math.sqrt(2 - 2 * self.settings.cosine)
-        places = np.floor(x @ planes[:, :lines] / step + shift[:lines]).astype(np.int64)
-        return np.cumsum(places * weights[:lines], axis=1)
+    schema = T.StructType([*[each.schema[c] for c in ("label", "width", "mean")], T.StructField("passes", T.IntegerType())])
+    return stage(each.mapInArrow(plan, schema), "labels")
 
 
-def with_keys(rows: DataFrame, settings: Settings, lines: str, passes: str) -> DataFrame:
-    """vec_id, label, width, x, and keys: of each pass the cell, or with null passes the cells of pass 0 for all LINES."""
-    names = ["vec_id", "label", "width", "x"]
+def with_keys(rows: DataFrame, settings: Settings) -> DataFrame:
+    """vec_id, label, width, raw, keys: the place of the vector in each pass that its label takes."""
+    names = ["vec_id", "label", "width", "raw"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, Cells] = {}
         for batch in batches:
-            how = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("width", "lines", "passes")], axis=1)
-            for width, n, turns in np.unique(how, axis=0).tolist():
-                some = batch.filter(pa.array((how == [width, n, turns]).all(axis=1)))
-                x = matrix(some.column("x"))
-                cells = known.setdefault(width, Cells(settings, width))
-                zero = np.zeros((len(x), 1), np.int64)
-                if turns:
-                    keys = np.concatenate([cells.keys(x, t, n)[:, -1:] if n else zero for t in range(turns)], axis=1)
-                else:
-                    keys = np.concatenate([zero, cells.keys(x, 0, LINES[-1])], axis=1)[:, list(LINES)]
-                ends = (np.arange(len(x) + 1) * keys.shape[1]).astype(np.int32)
+            how = np.stack([batch.column(c).to_numpy() for c in ("width", "passes")], axis=1)
+            for width, passes in np.unique(how, axis=0).tolist():
+                some = batch.filter(pa.array((how == [width, passes]).all(axis=1)))
+                x = units(some.column("raw")) - matrix(some.column("mean"))
+                keys = np.empty((len(x), passes), np.int64)
+                for t in range(passes):
+                    lines = np.random.default_rng([settings.seed, width, t]).standard_normal((width, BITS))
+                    keys[:, t] = (x @ lines > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                ends = (np.arange(len(x) + 1) * passes).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*[some.column(c) for c in names], pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], [*names, "keys"]
                 )
 
     schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("keys", T.ArrayType(T.LongType()))])
-    return rows.select(*names, F.expr(lines).cast("long").alias("lines"), F.expr(passes).cast("long").alias("passes")).mapInArrow(sign, schema)
-
-
-def chosen_lines(rows: DataFrame, settings: Settings) -> DataFrame:
-    """label, width, lines, passes: per label what moves and compares least, from the sizes of its cells in pass 0."""
-    tried = with_keys(rows, settings, "0", "0").select("label", "width", F.posexplode("keys").alias("k", "key"))
-    cells = tried.groupBy("label", "width", "k", "key").agg(F.count("*").cast("double").alias("n"))
-    sizes = cells.groupBy("label", "width", "k").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("pairs"))
-    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("k") + 1)
-    passes = of([settings.passes(n) for n in LINES])
-    options = sizes.select(
-        "label", "width", F.struct((passes * (settings.move * F.col("n") + F.col("pairs"))).alias("cost"), of(LINES).alias("lines"), passes.alias("passes")).alias("o"),
-    )
-    best = options.groupBy("label", "width").agg(F.min("o").alias("o"))
-    return stage(best.select("label", "width", "o.lines", "o.passes"), "lines")
-
-
-def cell_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
-    """(a, b) of linked vectors that share a cell in any pass; per two blocks a forest, so no more pairs than rows."""
-    keyed = with_keys(rows.join(chosen_lines(rows, settings), ["label", "width"]), settings, "lines", "passes")
-    keyed = stage(keyed, "keyed")
-    cell = ["label", "width", "pass", "key"]
-    spread = keyed.select("label", "width", F.posexplode("keys").alias("pass", "key"), "vec_id", "x")
-    sizes = spread.groupBy(*cell).agg(F.count("*").alias("n")).where("n > 1")
-    parts = stage(sizes.select(*cell, F.ceil(F.col("n") / settings.block).cast("int").alias("parts")), "parts")
-    blocks = spread.join(parts, cell).groupBy(*cell, F.pmod(F.xxhash64("vec_id"), F.col("parts")).alias("part")).agg(
-        F.collect_list(F.struct("vec_id", "x")).alias("rows")
-    )
-    blocks = stage(blocks, "cells")
-    right = blocks.select(*cell, F.col("part").alias("other"), F.col("rows").alias("others"))
-    meeting = blocks.join(right, cell).where("part <= other")
+    known = rows.join(labels(rows, settings), ["label", "width"]).select(*names, "mean", "passes")
+    return stage(known.mapInArrow(sign, schema), "keyed")
+
+
+def forest(ids: pa.Array, pairs: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Links of places as links of ids, each to the smallest place that it leads to: no more than there are ids."""
+    top = smallest(len(ids), pairs)
+    moved = np.flatnonzero(top != np.arange(len(ids)))
+    return ids.take(pa.array(moved)), ids.take(pa.array(top[moved]))
+
+
+def window_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b) of linked vectors that share a window in any pass; of the rows compared at once a forest.
+
+    A pass deals ranges of its order to tasks. The last window of a task meets the first one of the next in a second,
+    small step, so no neighbours are lost between tasks.
+    """
+    keyed = with_keys(rows, settings)
+    total, turns = keyed.agg(F.count("*"), F.max(F.size("keys"))).first()
+    ranges = max(1, -(-total // (settings.window * settings.part)))
+    kind, path = rows.schema["vec_id"], new_dir(rows.sparkSession, "pairs")
+    order = ["label", "width", "key", "vec_id"]
+    edge = [rows.schema["label"], T.StructField("width", T.IntegerType()), kind, rows.schema["raw"]]
+    schema = T.StructType([
+        T.StructField("a", kind.dataType), T.StructField("b", kind.dataType), T.StructField("border", T.LongType()),
+        T.StructField("later", T.BooleanType()), T.StructField("row", T.StructType(edge)),
+    ])
+    arrow, fields = to_arrow_schema(schema), [f.name for f in edge]
+    given = to_arrow_schema(T.StructType([rows.schema["label"], rows.schema["width"], T.StructField("key", T.LongType()), kind, rows.schema["raw"]]))
+
+    def found(a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([a, b, *[pa.nulls(len(a), arrow.field(k).type) for k in range(2, 5)]], schema=arrow)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = TaskContext.get().partitionId()
+        whole = pa.Table.from_batches(list(batches), schema=given).combine_chunks()  # ``part`` windows
+        if not len(whole):
+            return
+        codes = whole.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        width, ids = whole.column("width").to_numpy(), whole.column("vec_id").combine_chunks()
+        starts = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (width[1:] != width[:-1])))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(whole)]):
+            x = units(whole.column("raw").slice(start, end - start).combine_chunks())
+            for k in range(0, len(x), CHUNK):
+                near = x[k:k + CHUNK] @ x[k:k + CHUNK + settings.window].T >= settings.cosine
+                pairs = np.argwhere(np.triu(near, 1))
+                if len(pairs):
+                    yield found(*forest(ids.slice(start + k, CHUNK + settings.window), pairs))
+        for later, part in ((True, whole.slice(0, settings.window)), (False, whole.slice(max(0, len(whole) - settings.window)))):
+            part = part.combine_chunks()
+            row = pa.StructArray.from_arrays([part.column(f).combine_chunks() for f in fields], fields=list(arrow.field("row").type))
+            n = len(part)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, arrow.field(0).type), pa.nulls(n, arrow.field(1).type), pa.array(np.full(n, here + (not later))),
+                 pa.array(np.full(n, later)), row], schema=arrow,
+            )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for k in range(len(batch)):
-                a, b = (batch.column(c)[k].values for c in ("rows", "others"))
-                hit = np.argwhere(matrix(a.field("x")) @ matrix(b.field("x")).T >= settings.cosine)
-                if batch.column("same")[k].as_py():
-                    ids = a.field("vec_id")
-                else:
-                    ids, hit = pa.concat_arrays([a.field("vec_id"), b.field("vec_id")]), hit + [0, len(a)]
-                top = smallest(len(ids), hit)
-                moved = np.flatnonzero(top != np.arange(len(ids)))
-                found.append((ids.take(pa.array(moved)), ids.take(pa.array(top[moved]))))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*found, strict=True)], ["a", "b"])
-
-    kind = rows.schema["vec_id"].dataType
-    few = meeting.select("rows", "others", (F.col("part") == F.col("other")).alias("same"))
-    return few.mapInArrow(compare, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+            for some in batch.column("rows"):
+                later, row = some.values.field("later").to_numpy(zero_copy_only=False), some.values.field("row")
+                codes, width = row.field("label").dictionary_encode().indices.to_numpy(), row.field("width").to_numpy()
+                for label, w in {*zip(codes[later].tolist(), width[later].tolist())} & {*zip(codes[~later].tolist(), width[~later].tolist())}:
+                    of = np.flatnonzero((codes == label) & (width == w))
+                    x, side = units(row.field("raw").take(pa.array(of))), later[of]
+                    pairs = np.argwhere((x @ x.T >= settings.cosine) & (~side[:, None] & side[None, :]))
+                    if len(pairs):
+                        yield pa.RecordBatch.from_arrays([*forest(row.field("vec_id").take(pa.array(of)), pairs)], ["a", "b"])
+
+    for t in range(turns or 0):
+        turn = keyed.where(F.size("keys") > t).select("label", "width", F.col("keys")[t].alias("key"), "vec_id", "raw")
+        sorted_rows = turn.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        sorted_rows.mapInArrow(compare, schema).write.parquet(f"{path}/pass={t}")
+    if not turns:
+        return rows.sparkSession.createDataFrame([], T.StructType([schema["a"], schema["b"]]))
+    out = rows.sparkSession.read.schema(schema).option("basePath", path).parquet(*[f"{path}/pass={t}" for t in range(turns)])
+    # At most a window of rows from either side of a border.
+    borders = out.where("border IS NOT NULL").groupBy("pass", "border").agg(
+        F.collect_list(F.struct("later", "row")).alias("rows")
+    )
+    over = borders.where(F.exists("rows", lambda r: r["later"])).where(F.exists("rows", lambda r: ~r["later"])).select("rows")
+    return out.where("a IS NOT NULL").select("a", "b").unionByName(over.mapInArrow(meet, T.StructType([schema["a"], schema["b"]])))
 
 
 def smallest(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -239,15 +307,16 @@ def embedding_dedup(
     component, kept. Equal vectors link like any others. Ids are taken as unique; rows that repeat an id are one vector
     in components. An empty table gives no rows; further columns are not read.
 
-    Equal vectors of a label are compared as one. A pass moves every vector that shares its cell, and compares the
-    vectors of a cell with each other in blocks; vectors of a label that crowd closer than the threshold cost their
-    number squared. A group costs its size, but for members too far from its centre.
+    Equal vectors of a label are compared as one. A pass moves every vector once and compares it with a window of others,
+    whatever its label holds. A group costs its size, but for members too far from its centre.
     """
     rows = stage(vectors(table, id_col, vector_col, label_col).withColumn("width", F.size("x")), "vectors")
-    single = stage(rows.groupBy("label", "width", "x").agg(F.min("vec_id").alias("vec_id"), F.max("vec_id").alias("last")), "single")
+    single = rows.groupBy("label", "width", "x").agg(F.min("vec_id").alias("vec_id"), F.max("vec_id").alias("last"), F.max("raw").alias("raw"))
+    single = stage(single, "single")
     several = single.where("vec_id <> last").select("label", "width", "x", F.col("vec_id").alias("b"))
     copies = rows.join(several, ["label", "width", "x"]).where("vec_id <> b").select(F.col("vec_id").alias("a"), "b")
-    edges = stage(cell_pairs(single.drop("last"), settings).unionByName(copies).distinct(), "edges")
+    pairs = window_pairs(single.select("vec_id", "label", "width", "raw"), settings)
+    edges = stage(pairs.unionByName(copies).distinct(), "edges")
     found = stage(connected(edges), "components")
     members = stage(rows.join(found, F.col("vec_id") == F.col("node")).select("vec_id", "component", "x"), "members")
     links = counted_links(members, settings)
