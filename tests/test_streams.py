@@ -111,6 +111,9 @@ def test_rows_delivered_again_never_reach_the_merge(spark):
     again = run(DAY2)
     assert sum(b.scanned for b in again) == 5 and sum(b.inserted for b in again) == 5
     assert TableSync(store, "TEST", DAY2).target(SPEC).count() == 25
+    # Counters and durations of all batches are kept, and add up.
+    kept = TableSync(store, "TEST", DAY2).results().where("mode = 'stream'").collect()
+    assert sum(r.inserted for r in kept) == 25 == sum(r.scanned for r in kept) and all(r.duration > 0 for r in kept)
 
 
 def test_state_holds_rows_of_the_delay_only(spark):

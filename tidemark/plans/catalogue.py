@@ -701,3 +701,19 @@ def stream_once(spark, sf_dir):
     add()
     run()
     return spark.read.parquet(out).groupBy(F.col("Receipt_ID").alias("receipt_id")).agg(F.count("*").alias("times"))
+
+
+@query
+def stream_late(spark, sf_dir):
+    """Receipts with keys below the checkpoint of the stream: passed over by it, found by range digests beside it."""
+    store, checkpoint = new_store(spark), new_dir(spark, "stream")
+    folder, add = deliveries(spark, sf_dir, 1)
+    schema = receipts(load(spark, sf_dir, "events")).schema
+    stream_sync(TableSync(store, SOURCE_SYSTEM, FIRST_RUN), RECEIPTS, read_stream(spark, folder, schema), checkpoint)
+    add()
+    second = TableSync(store, SOURCE_SYSTEM, SECOND_RUN)
+    stream_sync(second, RECEIPTS, read_stream(spark, folder, schema), checkpoint, skip_old=True)
+    after_stream = second.target(RECEIPTS).select("receipt_id", F.lit("stream").alias("found_by"))
+    second.repair(RECEIPTS, sources(spark, sf_dir)[RECEIPTS.source_table])
+    rows = second.target(RECEIPTS).select("receipt_id", "checksum").join(after_stream, "receipt_id", "left")
+    return rows.withColumn("found_by", F.coalesce("found_by", F.lit("digests")))

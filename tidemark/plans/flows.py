@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass
 from datetime import datetime
 from time import monotonic
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.functions.dates import clock
 from tidemark.operators import digests, keyset, merge, metrics, quality, retention, state
@@ -69,6 +69,12 @@ class Batch:
         return self.good - self.inserted - self.updated - self.unchanged - self.known
 
 
+def results_frame(spark: SparkSession, results: list[TaskResult]) -> DataFrame:
+    """Task results as rows of the results table."""
+    rows = [tuple(asdict(r)[c] for c in RESULT_SCHEMA.fieldNames()) for r in results]
+    return spark.createDataFrame(rows, RESULT_SCHEMA).coalesce(1)
+
+
 class TableSync:
     """Sync of tables into a store. ``run_ts`` is the clock of the run, never the wall."""
 
@@ -392,7 +398,7 @@ def sync_cycle(
     started = monotonic()
     try:
         tasks = _run_tasks(sync, sources, specs, retention_days, chunk_limit, workers)
-        store.append(RESULTS, tasks.coalesce(1))
+        store.append(RESULTS, tasks)
     except BaseException:
         _close_run(sync, monotonic() - started, None)
         raise
@@ -424,8 +430,7 @@ def _run_tasks(
 
     with ThreadPoolExecutor(workers) as pool:
         results = [*pruned, *[r for rs in pool.map(table, specs) for r in rs]]
-    rows = [tuple(asdict(r)[c] for c in RESULT_SCHEMA.fieldNames()) for r in results]
-    return sync.spark.createDataFrame(rows, RESULT_SCHEMA)
+    return results_frame(sync.spark, results)
 
 
 def _close_run(sync: TableSync, seconds: float, tasks: DataFrame | None) -> None:

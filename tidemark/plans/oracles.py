@@ -387,6 +387,8 @@ FROM {FILES} b FULL JOIN {LATER_FILES} n ON n.nation = b.nation""",
     "stream_classify": f"""SELECT receipt_id, change_type, checksum, CASE WHEN is_new THEN '{SECOND}' ELSE '{FIRST}' END AS first_seen_at,
  CASE WHEN change_type = 'unchanged' THEN '{FIRST}' ELSE '{SECOND}' END AS last_changed_at FROM {change('receipts')}""",
     "stream_once": f"""SELECT CAST(receipt_id AS BIGINT) AS receipt_id, CASE change_type WHEN 'update' THEN CAST(2 AS BIGINT) ELSE 1 END AS times
+ FROM {change('receipts')}""",
+    "stream_late": f"""SELECT receipt_id, checksum, CASE WHEN is_new AND ord <= (SELECT max(event_id) FROM {OLD_EVENTS}) THEN 'digests' ELSE 'stream' END AS found_by
  FROM {change('receipts')}""",
     "stream_sync": f"""SELECT receipt_id, checksum, raw_id, {when('created_at')} AS created_at, '{FIRST}' AS updated_at FROM {mapped('receipts')}""",
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from time import monotonic
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators import keyset
-from tidemark.plans.flows import TableSync, TaskResult
+from tidemark.plans.flows import RESULTS, TableSync, TaskResult, results_frame
 from tidemark.specs import TableSpec
 from tidemark.streaming.keyed import run_batches, without_redelivery
 
@@ -40,13 +42,15 @@ def stream_sync(
     keys at or below the key checkpoint, as the batch flow does: late rows then wait for a
     reconcile. The key checkpoint moves after the data of its batch is stored. With
     ``once_within``, an interval, rows delivered again that soon do not reach the merge at all;
-    ``rows`` then need the column ``_arrived`` of ``read_stream``.
+    ``rows`` then need the column ``_arrived`` of ``read_stream``. Counters and duration of every
+    batch are stored with the results of the other tasks.
     """
     if once_within:
         rows = without_redelivery(rows, spec, ARRIVED, once_within)
     done: list[TaskResult] = []
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        started = monotonic()
         last, _ = sync.checkpoint(spec)
         picked = keyset.after(batch, spec, last) if skip_old else batch
         result = sync.apply(spec, picked)
@@ -55,7 +59,8 @@ def stream_sync(
             if last is not None:
                 newest = max(newest, last, key=int if spec.key_order == "long" else str)
             sync._advance(spec, sync_key=newest)
-        done.append(sync._result(spec, "stream", result, 0.0))
+        done.append(sync._result(spec, "stream", result, started))
+        sync.store.append(RESULTS, results_frame(sync.spark, done[-1:]))
 
     run_batches(rows, checkpoint, merge_batch)
     return done
