@@ -30,6 +30,7 @@ from tidemark.plans.standins import (
     sources,
 )
 from tidemark.session import configure, new_dir
+from tidemark.sources.legacy import read_export
 from tidemark.sources.readers import read_files, sql_source, table_probe
 from tidemark.sources.snapshot import source_changes, source_snapshot
 from tidemark.sources.store import TableStore
@@ -129,6 +130,44 @@ def keyset_scan(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def exported(spark: SparkSession, orders: DataFrame) -> tuple[str, DataFrame]:
+    """Orders as a legacy system exports them: JSON lines in key order; and the columns it has."""
+    kept = orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    path = new_dir(spark, "export")
+    kept.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.json(path)
+    return path, kept
+
+
+@query
+def legacy_scan(spark, sf_dir):
+    """A scan after a checkpoint on an export that can bound its keys and nothing else."""
+    orders = load(spark, sf_dir, "orders")
+    path, kept = exported(spark, orders)
+    last = orders.agg(F.expr("CAST(max(o_orderkey) DIV 2 AS STRING)")).first()[0]
+    spec = replace(SALES, fields=(replace(SALES.key, source="o_orderkey"), *SALES.fields[1:]))
+    rows = read_export(spark, path, kept.schema, "o_orderkey", block=1 << 20)
+    return keyset.after(rows, spec, last).where("o_totalprice > 1000")
+
+
+@query
+def legacy_poll(spark, sf_dir):
+    """The same export polled by key as a stream, in two runs: how often each key came."""
+    orders = load(spark, sf_dir, "orders")
+    half = orders.agg(F.expr("CAST(max(o_orderkey) DIV 2 AS BIGINT)")).first()[0]
+    path, kept = exported(spark, orders.where(F.col("o_orderkey") <= half))
+    out, checkpoint = new_dir(spark, "polled"), new_dir(spark, "stream")
+
+    def run() -> None:
+        rows = read_export(spark, path, kept.schema, "o_orderkey", stream=True, block=1 << 20)
+        keyed.run_batches(rows, checkpoint, lambda b, _: b.write.mode("append").parquet(out))
+
+    run()
+    rest = orders.where(F.col("o_orderkey") > half).select(kept.columns)
+    rest.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.mode("append").json(path)
+    run()
+    return spark.read.parquet(out).groupBy("o_orderkey").agg(F.count("*").alias("times"), F.max("o_totalprice").alias("price"))
+
+
 @query
 def full_scan(spark, sf_dir):
     return curate(customers(load(spark, sf_dir, "customer")), CUSTOMERS).select(

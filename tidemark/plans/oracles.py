@@ -280,6 +280,9 @@ FROM {FILES} b FULL JOIN {LATER_FILES} n ON n.nation = b.nation""",
         *[f"SELECT '{n}', o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)"
           for n in ("after", "text lines")],
     ]),
+    "legacy_scan": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders) AND o_totalprice > 1000""",
+    "legacy_poll": "SELECT o_orderkey, count(*) AS times, max(o_totalprice) AS price FROM orders GROUP BY 1",
     "full_scan": """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, CAST(c_nationkey AS VARCHAR) AS city_id,
  CAST(NULL AS VARCHAR) AS mobile1, c_acctbal AS opening_balance FROM customer""",
     "sql_source": """SELECT c_custkey, c_name, count(*) AS n_orders FROM customer JOIN orders ON o_custkey = c_custkey
