@@ -83,7 +83,8 @@ CHARS = st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list
 @how(max_examples=400, deadline=None)
 @given(st.text(CHARS, max_size=60))
 def test_word_by_word_is_as_the_whole_text(text):
-    sizes, (digest,), doc, pair, times = tool.block([text])
+    sizes, (digest,), pairs, _, code, times = tool.block([text])
+    pair = pairs[code]
     want = aligned(text)
     if want is None:
         assert digest == "" and not sizes.any() and not len(pair)

@@ -122,9 +122,9 @@ class Aligner:
         theirs = [[(p.id, p.begin, p.end) for p in y.pieces] for y in self.b.encode(words, return_type="proto", num_threads=1)]
         a_ids = [x.ids for x in ours]
         raw = [w.encode() for w in spaced]
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
         good = np.array([
-            b"".join(map(self.a_bytes.__getitem__, x)) == w and b"".join([self.b_bytes[p[0]] for p in y]) == w
-            for x, y, w in zip(a_ids, theirs, raw, strict=True)
+            b"".join(map(a_bytes, x)) == w == b"".join([b_bytes(p[0]) for p in y]) for x, y, w in zip(a_ids, theirs, raw, strict=True)
         ])
         texts: list[str | None] = [None] * len(words)
         sizes = np.zeros((len(words), 4), np.int64)
@@ -168,8 +168,9 @@ class Aligner:
         sizes[fit] = np.stack([n_a, n_b, word_of(cuts), word_of(stops)], axis=1)
         return texts, sizes, pairs
 
-    def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Of all texts: their sizes, digests, and their distinct pairs as document, pair, times."""
+    def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all texts: their sizes, digests and distinct pairs, then per document and pair the document, the place of the
+        pair among those, and how often the document has it."""
         if len(self.texts) > CACHE_WORDS or self.held > CACHE_CHARS:
             self.forget()
         cut = [(CUT.split(t) if self.by_word else [t]) if t else [] for t in texts]
@@ -189,7 +190,7 @@ class Aligner:
         sizes = np.zeros((len(texts), 4), np.int64)
         if not ids:
             empty = np.zeros(0, np.int64)
-            return sizes, digests, empty, empty, empty
+            return sizes, digests, empty, empty, empty, empty
         words, doc = np.concatenate(ids), np.concatenate(doc)
         # Each word of a document once, with its number; then the same with the pairs of its words.
         key, times = np.unique(doc * len(kept) + words, return_counts=True)
@@ -200,12 +201,12 @@ class Aligner:
         pair = self.pairs[first + np.arange(n.sum())]
         pair, code = np.unique(pair, return_inverse=True)
         key = np.repeat(doc, n) * len(pair) + code
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, times = key[order], np.repeat(times, n)[order]
         edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         doc, code = np.divmod(key[edge], len(pair))
         times = np.add.reduceat(times, edge)
-        return sizes, digests, doc, pair[code], times
+        return sizes, digests, pair, doc, code, times
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -260,8 +261,7 @@ def token_alignment(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, task = aligner(byte_file, piece_file), TaskContext.get().partitionId()
         for at, (ids, texts) in enumerate(by_block(batches, block_chars)):
-            sizes, digests, doc, pair, times = tool.block(texts)
-            pairs, code = np.unique(pair, return_inverse=True)
+            sizes, digests, pairs, doc, code, times = tool.block(texts)
             one = lambda values, kind=None: pa.ListArray.from_arrays(
                 pa.array([0, len(values)], pa.int32()), pa.array(values) if kind is None else pa.array(values, kind)
             )
