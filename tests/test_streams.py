@@ -8,14 +8,14 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import merge
+from tidemark.operators import merge, metrics
 from tidemark.operators.curate import map_to_raw
 from tidemark.plans import catalogue, standins
 from tidemark.plans.flows import TableSync
 from tidemark.session import configure, new_dir
 from tidemark.sources.store import TableStore
 from tidemark.specs import SALES
-from tidemark.streaming import keyed
+from tidemark.streaming import keyed, observed
 from tidemark.streaming.stream import read_stream, stream_sync
 
 DAY1, DAY2, DAY3 = datetime(2024, 5, 1), datetime(2024, 5, 2), datetime(2024, 5, 3)
@@ -149,3 +149,36 @@ def test_stream_over_a_folder_equals_one_over_a_file(spark, sf_dir, parts):
     found = catalogue.QUERIES["stream_sync"](spark, folder)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, catalogue.QUERIES["stream_sync"](spark, sf_dir).collect()))
     assert found.count() == events.count() > 0
+
+
+def test_batches_of_a_stream_are_observed(spark):
+    """Sums over batches are the counters of one batch; durations and lags come with them."""
+    folder, store, log = Folder(spark), TableStore(configure(spark), new_dir(spark, "store")), observed.BatchLog()
+    spark.streams.addListener(log)
+    try:
+        folder.add([(str(k), "1") for k in range(7)] + [("null", "1")])
+        assert len(folder.classes(DAY1, max_files=1)) == 7
+        folder.add([("1", "1"), (None, "2")])
+        folder.add([("2", "5")])
+        assert len(folder.classes(DAY2, max_files=1)) == 2
+        assert log.flush(store) == 3 and log.flush(store) == 0
+    finally:
+        spark.streams.removeListener(log)
+    found = observed.batches(store)
+    assert [(r.table_name, r.mode, r.scanned, r.errors) for r in found.orderBy("run_id", "batch_id").collect()].count(("BILL_MASTER", "stream", 8, 1)) == 1
+    total = found.agg(F.sum("scanned"), F.sum("errors"), F.min("duration")).first()
+    assert tuple(total)[:2] == (11, 2) and total[2] > 0
+    histogram = metrics.duration_histogram(found, ["table_name", "mode"]).where("le = double('inf')").first()
+    assert histogram.bucket_count == 3
+
+
+def test_lag_of_a_batch_is_behind_the_newest_so_far(spark):
+    store, log = TableStore(configure(spark), new_dir(spark, "store")), observed.BatchLog()
+    at = lambda h: datetime(2024, 5, 1, h)
+    log.entries = [("r", n, "T", "stream", 1, 0, t, 0.5) for n, t in enumerate([at(3), at(9), at(4), None])]
+    assert log.flush(store) == 4
+    log.entries = [("r", 4, "T", "stream", 1, 0, at(8), 0.5)]
+    log.flush(store)
+    found = {r.batch_id: r.lag_minutes for r in observed.batches(store).collect()}
+    assert found == {0: 0.0, 1: 0.0, 2: 300.0, 3: None, 4: 60.0}
+    assert metrics.lag_alerts(observed.batches(store)).count() == 1

@@ -45,7 +45,7 @@ from tidemark.specs import (
     TEXT,
     TableSpec,
 )
-from tidemark.streaming import keyed
+from tidemark.streaming import keyed, observed
 from tidemark.streaming.stream import read_stream, stream_sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -756,3 +756,27 @@ def stream_late(spark, sf_dir):
     second.repair(RECEIPTS, sources(spark, sf_dir)[RECEIPTS.source_table])
     rows = second.target(RECEIPTS).select("receipt_id", "checksum").join(after_stream, "receipt_id", "left")
     return rows.withColumn("found_by", F.coalesce("found_by", F.lit("digests")))
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Counters of a stream of receipts, some with bad keys, in several micro-batches: their sums per table."""
+    store, folder, out = new_store(spark), new_dir(spark, "deliveries"), new_dir(spark, "good")
+    rows = receipts(load(spark, sf_dir, "events").withColumn("event_id", F.expr(DIRTY_KEY)))
+    rows.repartition(4, "Receipt_ID").write.parquet(folder)
+    log = observed.BatchLog()
+    spark.streams.addListener(log)
+    try:
+        counted = observed.observed(read_stream(spark, folder, rows.schema, max_files=1), RECEIPTS)
+        keyed.run_batches(counted, new_dir(spark, "stream"), lambda b, _: b.where("_reason IS NULL").select("receipt_id").write.mode("append").parquet(out))
+        log.flush(store)
+    finally:
+        spark.streams.removeListener(log)
+    sums = observed.batches(store).groupBy("table_name", "mode").agg(
+        F.sum("scanned").alias("scanned"), F.sum("errors").alias("errors"), seconds_of(F.max("newest")).alias("newest")
+    )
+    return sums.crossJoin(spark.read.parquet(out).agg(F.count("*").alias("good")))  # one row
+
+
+def seconds_of(ts):
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

@@ -393,5 +393,8 @@ FROM {FILES} b FULL JOIN {LATER_FILES} n ON n.nation = b.nation""",
  FROM {change('receipts')}""",
     "stream_late": f"""SELECT receipt_id, checksum, CASE WHEN is_new AND ord <= (SELECT max(event_id) FROM {OLD_EVENTS}) THEN 'digests' ELSE 'stream' END AS found_by
  FROM {change('receipts')}""",
+    "stream_counters": f"""SELECT 'Receipt_Master' AS table_name, 'stream' AS mode, count(*) AS scanned, count(*) FILTER (k = ' null ') AS errors,
+ {when("max(CASE WHEN ts = date_trunc('second', ts) THEN ts ELSE CAST(CAST(ts AS DATE) AS TIMESTAMP) END)")} AS newest,
+ count(*) FILTER (k <> ' null ') AS good FROM (SELECT *, {DIRTY_KEY} AS k FROM events)""",
     "stream_sync": f"""SELECT receipt_id, checksum, raw_id, {when('created_at')} AS created_at, '{FIRST}' AS updated_at FROM {mapped('receipts')}""",
 }

@@ -10,10 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tidemark.operators import quality
-from tidemark.operators.curate import clean_table, with_checksum
+from tidemark.operators.curate import with_checksum
 from tidemark.operators.merge import INSERT, UNCHANGED, UPDATE
 from tidemark.specs import TableSpec
+from tidemark.streaming.observed import observed
 
 CLASSES = "change_type string, checksum string, first_seen_at timestamp, last_seen_at timestamp, last_changed_at timestamp"
 STATE = "known"
@@ -67,9 +67,8 @@ class Fingerprints(StatefulProcessor):
 
 
 def identified(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Key, checksum and row_order (text that sorts as rows of a key arrive) of the good rows of a stream."""
-    good = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec)).where("_reason IS NULL")
-    found = with_checksum(good, spec)
+    """Key, checksum and row_order (text that sorts as rows of a key arrive) of the good rows of a stream, all counted."""
+    found = with_checksum(observed(rows, spec).where("_reason IS NULL"), spec)
     # Rows of a key are ordered as in a batch: by ``seq``, of equal ones by checksum.
     order = F.to_json(F.struct("_seq")) if not spec.seq else sortable("_seq", found)
     return found.select(spec.key.target, "checksum", order.alias("row_order"))
