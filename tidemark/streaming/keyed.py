@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -16,7 +18,8 @@ from tidemark.specs import TableSpec
 from tidemark.streaming.observed import observed
 
 CLASSES = "change_type string, checksum string, first_seen_at timestamp, last_seen_at timestamp, last_changed_at timestamp"
-STATE = "known"
+STATE = "slot"
+SLOTS = 1024  # groups of keys that share one entry of state
 # Keyed state lives in RocksDB. State that ends by the clock would ask for batches without data for ever.
 KEYED = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -38,28 +41,49 @@ def keyed_state(spark: SparkSession):
 
 
 class Fingerprints(StatefulProcessor):
-    """Per key its checksum and when it was first seen and last changed; forgotten ``ttl_ms`` after its last row."""
+    """Of the keys of a slot their checksums and when they were first seen and last changed.
+
+    One call of Python classes all rows of a slot in a batch and reads and writes what is known of it as one value: a key
+    alone would cost a call and two messages. A key is forgotten ``ttl_ms`` after its last row, a slot after the last row
+    of all its keys.
+    """
 
     def __init__(self, key: str, now: datetime, ttl_ms: int | None):
         self.key, self.now, self.ttl_ms = key, now, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "checksum string, first_seen_at timestamp, last_changed_at timestamp"
-        self.known = handle.getValueState(STATE, schema, self.ttl_ms)
+        # A pickled dictionary: key to checksum, first seen, last changed (microseconds) and the time it is forgotten.
+        self.known = handle.getValueState(STATE, "keys binary", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = max((r for some in rows for r in some[["row_order", "checksum"]].itertuples(index=False, name=None)))
-        checksum, now = last[1], self.now
-        old = self.known.get()
-        if old is None:
-            kind, first, changed = INSERT, now, now
-        else:
-            kind = UNCHANGED if old[0] == checksum else UPDATE
-            first, changed = old[1], old[2] if kind == UNCHANGED else now
-        self.known.update((checksum, first, changed))
+        last: dict[str, tuple[str, str]] = {}
+        for some in rows:
+            for k, *row in zip(some[self.key], some["row_order"], some["checksum"], strict=True):
+                if k not in last or last[k] < tuple(row):
+                    last[k] = tuple(row)
+        held = self.known.get()
+        known = pickle.loads(held[0]) if held is not None else {}
+        until = None
+        if self.ttl_ms:
+            clock = timerValues.getCurrentProcessingTimeInMs()
+            until = clock + self.ttl_ms
+            known = {k: v for k, v in known.items() if v[3] > clock}
+        now = int(np.datetime64(self.now, "us").astype("int64"))
+        kinds = []
+        for k, (_, checksum) in last.items():
+            digest, old = bytes.fromhex(checksum), known.get(k)
+            if old is None:
+                kind, first, changed = INSERT, now, now
+            else:
+                kind = UNCHANGED if old[0] == digest else UPDATE
+                first, changed = old[1], old[2] if kind == UNCHANGED else now
+            known[k] = digest, first, changed, until
+            kinds.append(kind)
+        self.known.update((pickle.dumps(known, pickle.HIGHEST_PROTOCOL),))
+        times = np.array([known[k][1:3] for k in last], "datetime64[us]")
         yield pd.DataFrame({
-            self.key: [key[0]], "change_type": [kind], "checksum": [checksum],
-            "first_seen_at": [first], "last_seen_at": [now], "last_changed_at": [changed],
+            self.key: list(last), "change_type": kinds, "checksum": [checksum for _, checksum in last.values()],
+            "first_seen_at": times[:, 0], "last_seen_at": np.datetime64(self.now, "us"), "last_changed_at": times[:, 1],
         })
 
     def close(self) -> None:
@@ -102,17 +126,21 @@ def combined(rows: DataFrame, key: str) -> DataFrame:
     return rows.mapInPandas(last, rows.schema)
 
 
-def classified(rows: DataFrame, spec: TableSpec, now: datetime, ttl_ms: int | None = None) -> DataFrame:
+def classified(rows: DataFrame, spec: TableSpec, now: datetime, ttl_ms: int | None = None, slots: int = SLOTS) -> DataFrame:
     """A stream of source rows as a stream of classes: one row per key and micro-batch with ``change_type`` insert, update
     or unchanged and the times of its fingerprint.
 
     The state of a key outlives restarts from the checkpoint. With ``ttl_ms`` a key that brings no row for so long is
     forgotten, and comes back as an insert: state is bounded by the keys of that time. Start the query within
     ``keyed_state``. ``now`` is the clock of the run (UTC, without zone).
+
+    Keys are dealt over ``slots`` by their hash. A batch calls Python once per slot that it touches, and writes what is
+    known of that slot again, so take more slots where there are very many keys and batches are small. A checkpoint
+    keeps its number of slots.
     """
     key = spec.key.target
-    few = combined(identified(rows, spec), key)
-    return few.groupBy(key).transformWithStateInPandas(
+    few = combined(identified(rows, spec), key).withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(slots)))
+    return few.groupBy("_slot").transformWithStateInPandas(
         Fingerprints(key, now, ttl_ms), f"{key} string, {CLASSES}", "Update", "ProcessingTime" if ttl_ms else "None"
     )
 
