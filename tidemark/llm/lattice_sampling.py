@@ -367,6 +367,12 @@ class Sampler:
         return self.sample_all([parts], k, [seed])[0]
 
 
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of whole numbers as one column of lists."""
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays]), pa.int32()))
+
+
 _SAMPLERS: dict[tuple, Sampler] = {}
 
 
@@ -397,7 +403,7 @@ def encode(
     kinds = {"sample": T.IntegerType(), "ids": T.ArrayType(T.IntegerType()), "n_pieces": T.LongType(), "ids_crc32": T.LongType(),
              "round_trip": T.BooleanType()}
     schema = T.StructType([rows.schema["doc_id"], *[T.StructField(n, kinds.get(n, T.DoubleType())) for n in names]])
-    arrow = {"sample": pa.int32(), "ids": pa.list_(pa.int32()), "n_pieces": pa.int64(), "ids_crc32": pa.int64(), "round_trip": pa.bool_()}
+    arrow = {"sample": pa.int32(), "n_pieces": pa.int64(), "ids_crc32": pa.int64(), "round_trip": pa.bool_()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_model = sampler(model_file, sharpness, offset)
@@ -413,7 +419,7 @@ def encode(
                     values = [place, *[plain.astype(np.int32)] * with_ids, len(ids), zlib.crc32(plain.tobytes()), *numbers]
                     for n, v in zip(names, [*values, with_model.pieces.decode(ids.tolist()) == wanted], strict=True):
                         out[n].append(v)
-            columns = [pa.array(out[n], arrow.get(n, pa.float64())) for n in names]
+            columns = [lists(out[n]) if n == "ids" else pa.array(out[n], arrow.get(n, pa.float64())) for n in names]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), *columns], ["doc_id", *names])
 
     return rows.mapInArrow(run, schema).withColumn("inclusion", F.exp("log_inclusion"))

@@ -98,7 +98,7 @@ def op2_quality(spark, sf_dir):
 @query
 def op6_lattice_sampling(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return encode(load(spark, sf_dir, "documents"), model, k=2, sharpness=0.5, with_ids=False)
+    return encode(load(spark, sf_dir, "documents"), model, k=2, sharpness=0.5)
 
 
 @query
