@@ -105,9 +105,14 @@ def with_ingestion(
     df: DataFrame, spec: TableSpec, source_system: str, exact: bool = True
 ) -> DataFrame:
     """Add checksum, row id and constants to cleaned rows."""
+    return with_ids(with_checksum(df, spec, exact), spec, source_system)
+
+
+def with_ids(df: DataFrame, spec: TableSpec, source_system: str) -> DataFrame:
+    """Add what follows from the key: row id and constants."""
     if not source_system:
         raise ValueError("source_system is required")
-    return with_checksum(df, spec, exact).withColumns(
+    return df.withColumns(
         {
             "raw_id": row_id(spec.source_table, F.col(spec.key.target)),
             "source_system": F.lit(source_system),

@@ -24,17 +24,22 @@ def dedupe_last(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataF
     return df.withColumn("_n", F.row_number().over(window)).where("_n = 1").drop("_n")
 
 
-def classify(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def classify(source: DataFrame, target: DataFrame, key: str, newer: DataFrame | None = None) -> DataFrame:
     """Source rows (one per key) with ``change_type`` and ``old_created_at`` of the target.
 
-    The join carries no hint: adaptive execution broadcasts a side whose measured size allows it.
+    ``newer`` are rows that stand in place of those of the target; with it come ``old_raw_id`` and no union of both.
+    The joins carry no hint: adaptive execution broadcasts a side whose measured size allows it.
     """
-    known = target.select(
-        F.col(key),
-        F.col("checksum").alias("_old_checksum"),
-        F.col("created_at").alias("old_created_at"),
-    )
-    joined = source.join(known, key, "left")
+    olds = {"_old_checksum": "checksum", "old_created_at": "created_at"}
+    if newer is not None:
+        olds["old_raw_id"] = "raw_id"
+    joined = source.join(target.select(key, *[F.col(c).alias(n) for n, c in olds.items()]), key, "left")
+    if newer is not None:
+        joined = joined.join(newer.select(key, *[F.col(c).alias(f"_new_{n}") for n, c in olds.items()]), key, "left")
+        for n in ("old_created_at", "old_raw_id", "_old_checksum"):
+            held = F.col("_new__old_checksum").isNotNull()
+            joined = joined.withColumn(n, F.when(held, F.col(f"_new_{n}")).otherwise(F.col(n)))
+        joined = joined.drop(*[f"_new_{n}" for n in olds])
     kind = (
         F.when(F.col("_old_checksum").isNull(), INSERT)
         .when(F.col("_old_checksum") != F.col("checksum"), UPDATE)
@@ -80,16 +85,23 @@ def upsert_changed(
 
 
 def upsert_fingerprints(
-    old: DataFrame, seen: DataFrame, table: str, run_ts: datetime, apart: bool = False
+    old: DataFrame, seen: DataFrame, table: str, run_ts: datetime, apart: bool = False, newer: DataFrame | None = None
 ) -> DataFrame:
     """The whole fingerprint table after a batch: one join, each side moved once.
 
     First times are kept, change times move only when the checksum differs. ``seen`` is (entity_id, checksum), one row
     per key. ``apart`` tells that ``old`` holds this table only; if it is bucketed by entity_id it is not moved at all.
+    With ``newer``, rows that stand in place of those of ``old``, only the rows of seen keys come out.
     """
     now = clock(run_ts)
     new = seen.select(F.lit(table).alias("table_name"), "entity_id", F.col("checksum").alias("_new"))
-    if apart:
+    kept = ["checksum", "first_seen_at", "last_seen_at", "last_changed_at"]
+    if newer is not None:
+        late = newer.select("entity_id", *[F.col(c).alias(f"_{c}") for c in kept])
+        joined = new.join(old.drop("table_name"), "entity_id", "left").join(late, "entity_id", "left")
+        held = F.col("_checksum").isNotNull()
+        joined = joined.withColumns({c: F.when(held, F.col(f"_{c}")).otherwise(F.col(c)) for c in kept})
+    elif apart:
         joined = old.drop("table_name").join(new.drop("table_name"), "entity_id", "full").withColumn("table_name", F.lit(table))
     else:
         joined = old.join(new, ["table_name", "entity_id"], "full")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidemark.functions.dates import clock
 from tidemark.operators import digests, keyset, merge, metrics, quality, retention, state
-from tidemark.operators.curate import clean_table, with_checksum, with_ingestion
+from tidemark.operators.curate import clean_table, with_checksum, with_ids
 from tidemark.session import new_dir
 from tidemark.sources.store import TableStore
 from tidemark.specs import (
@@ -160,17 +160,18 @@ class TableSync:
     def apply(self, spec: TableSpec, rows: DataFrame, within: digests.Open | None = None) -> Batch:
         """Clean, validate, identify and merge a batch of source rows, or those in open ranges of digests.
 
-        1. one narrow pass writes the mapped rows to shared storage and counts them;
+        1. one narrow pass writes the cleaned rows with checksums to shared storage and counts them;
         2. rejects, if that pass saw any, go to the dead-letter table;
-        3. the last row of each key is compared with key and checksum of the target; if
-           any is new or changed, they are joined with the target into its next base;
-        4. then the fingerprints of all seen keys are written, so that a fingerprint never
+        3. the last row of each key is dealt once, as the buckets of the target are; nothing moves after that;
+        4. these rows are compared with key and checksum of the target, and what is new or changed becomes the target's
+           next delta, or is joined with it into its next base;
+        5. then the fingerprints of all seen keys are written, so that a fingerprint never
            stands for a row that the target has not got.
 
-        Target and fingerprints are bucketed by key, so only rows of the batch are moved.
+        Row ids and constants follow from the key and are added where the target is written.
         """
         key = spec.key.target
-        scan, identified = Observation(), Observation()
+        scan, identified, one = Observation(), Observation(), Observation()
         good_key = F.when(F.col("_reason").isNull(), F.col(key))
         cleaned = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec))
         if within:
@@ -184,7 +185,7 @@ class TableSync:
             F.max(good_key).alias("high"),
         )
         good = cleaned.where("_reason IS NULL").drop("_reason", "_raw_key")
-        mapped = with_ingestion(good, spec, self.source_system, exact=False)
+        mapped = with_checksum(good, spec, exact=False).withColumn("checksum", F.unhex("checksum"))
         mapped = mapped.observe(identified, F.count_if(F.col("checksum").isNull()).alias("odd"))
         path = new_dir(self.spark, f"stage-{spec.target_table}")
         try:
@@ -196,55 +197,75 @@ class TableSync:
                 self._set_aside(spec, rows)
             if batch.good:
                 if identified.get["odd"]:
-                    odd = staged.where("checksum IS NULL").drop("checksum")
-                    exact = self.store.stage(with_checksum(odd, spec), f"{path}/exact")
+                    odd = with_checksum(staged.where("checksum IS NULL").drop("checksum"), spec)
+                    exact = self.store.stage(odd.withColumn("checksum", F.unhex("checksum")), f"{path}/exact")
                     staged = staged.where("checksum IS NOT NULL").unionByName(exact)
                 keys = F.col(key).between(seen["low"], seen["high"])
+                last = merge.dedupe_last(staged, key, ["_seq", "checksum"]).drop("_seq")
+                last = last.observe(one, F.count(F.lit(1)).alias("rows"))
+                last = self.store.stage_beside(spec.target_table, last, f"{path}/last", key)
+                last = last.withColumn("checksum", F.lower(F.hex("checksum")))
+                keys_seen = one.get["rows"]
                 # Fingerprints as they were before this batch.
-                known = self.fingerprints(spec)
-                self._merge(spec, staged, known, keys, batch, f"{path}/changed")
-                self._remember(spec, staged, known)
+                known = self.store.parts(self.fingerprint_table(spec), FINGERPRINT_SCHEMA, "entity_id")
+                self._merge(spec, last, keys_seen, keys, batch, f"{path}/changed")
+                self._remember(spec, last, keys_seen, known)
         finally:
+            for name in ("last", "changed"):
+                self.store.unstage(f"{path}/{name}")
             self.store.drop(path)
         return batch
 
-    def _merge(
-        self, spec: TableSpec, staged: DataFrame, known: DataFrame, within: Column, batch: Batch, path: str
-    ) -> None:
-        key, merged, before = spec.key.target, Observation(), Observation()
-        latest = merge.dedupe_last(staged, key, ["_seq", "checksum"])
+    def _merge(self, spec: TableSpec, last: DataFrame, n: int, within: Column, batch: Batch, path: str) -> None:
+        """``last`` are the ``n`` rows of the batch that count, one per key, dealt as the buckets are."""
+        key, table, merged = spec.key.target, spec.target_table, Observation()
+        last = with_ids(last, spec, self.source_system)
         if self.skip_known:
-            latest = latest.observe(before, F.count(F.lit(1)).alias("rows"))
-            latest = merge.fingerprint_delta(latest, known, spec.source_table, key)
-        target = self.target(spec)
-        latest = self.store.beside(spec.target_table, latest, key)
-        kinds = merge.classify(latest, target.where(within), key).observe(
+            last = merge.fingerprint_delta(last, self.fingerprints(spec), spec.source_table, key)
+        if not self.store.exists(table):
+            first = last.withColumn("old_created_at", F.lit(None).cast("timestamp"))
+            first = merge.stamp(first, spec, self.run_ts).select(spec.raw_schema.fieldNames())
+            first = first.observe(merged, F.count(F.lit(1)).alias("rows"))
+            self.store.replace(table, first, key)
+            batch.inserted = merged.get["rows"]
+            batch.known = n - batch.inserted
+            return
+        base, newer = self.store.parts(table, spec.raw_schema, key)
+        newer = base.limit(0) if newer is None else newer.where(within)
+        kinds = merge.classify(last, base.where(within), key, newer).observe(
             merged,
             *[
                 F.count_if(F.col("change_type") == k).alias(k)
                 for k in (merge.INSERT, merge.UPDATE, merge.UNCHANGED)
             ],
         )
-        changed = kinds.where(F.col("change_type") != merge.UNCHANGED).drop("change_type", "old_created_at")
-        changed = self.store.stage(changed, path)
+        changed = kinds.where(F.col("change_type") != merge.UNCHANGED).drop("change_type")
+        changed = changed.withColumn("raw_id", F.coalesce("old_raw_id", "raw_id")).drop("old_raw_id")
+        changed = merge.stamp(changed, spec, self.run_ts).select(spec.raw_schema.fieldNames())
+        changed = self.store.stage_beside(table, changed, path, key)
         counts = merged.get
         batch.inserted = counts[merge.INSERT]
         batch.updated = counts[merge.UPDATE]
         batch.unchanged = counts[merge.UNCHANGED]
-        if self.skip_known:
-            batch.known = before.get["rows"] - batch.inserted - batch.updated - batch.unchanged
-        if batch.inserted or batch.updated:
-            changed = self.store.beside(spec.target_table, changed, key)
-            rows = merge.upsert_changed(target, changed, spec, self.run_ts)
-            self.store.replace(spec.target_table, rows.select(spec.raw_schema.fieldNames()), key, in_place=True)
-
-    def _remember(self, spec: TableSpec, staged: DataFrame, known: DataFrame) -> None:
-        key = spec.key.target
-        narrow = merge.dedupe_last(staged.select(key, "checksum", "_seq"), key, ["_seq", "checksum"])
-        latest = narrow.select(F.col(key).alias("entity_id"), "checksum")
-        latest = self.store.beside(self.fingerprint_table(spec), latest, "entity_id")
-        rows = merge.upsert_fingerprints(known, latest, spec.source_table, self.run_ts, apart=True)
-        self.store.replace(self.fingerprint_table(spec), rows, "entity_id", in_place=True)
+        batch.known = n - batch.inserted - batch.updated - batch.unchanged
+        moved = batch.inserted + batch.updated
+        if moved and self.store.takes(table, moved):
+            self.store.patch(table, changed, key)
+        elif moved:
+            rows = merge.upsert_changed(self.target(spec), changed, spec, self.run_ts)
+            self.store.replace(table, rows.select(spec.raw_schema.fieldNames()), key, in_place=True)
+
+    def _remember(self, spec: TableSpec, last: DataFrame, n: int, known: tuple[DataFrame, DataFrame | None]) -> None:
+        table = self.fingerprint_table(spec)
+        latest = last.select(F.col(spec.key.target).alias("entity_id"), "checksum")
+        if self.store.takes(table, n):
+            base, newer = known
+            newer = base.limit(0) if newer is None else newer
+            rows = merge.upsert_fingerprints(base, latest, spec.source_table, self.run_ts, newer=newer)
+            self.store.patch(table, rows, "entity_id")
+        else:
+            rows = merge.upsert_fingerprints(self.fingerprints(spec), latest, spec.source_table, self.run_ts, apart=True)
+            self.store.replace(table, rows, "entity_id", in_place=True)
 
     # -- flows -------------------------------------------------------------------------
 
