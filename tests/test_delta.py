@@ -53,3 +53,11 @@ def test_unfinished_delta_is_not_read(spark, store):  # noqa: F811
     assert rows(at(store), SALES, "net_amount")["3"] == 3.5
     at(store, DAY2).full(SALES, bills(spark, [3], amount=lambda k: "9"))
     assert rows(at(store), SALES, "net_amount")["3"] == 9.0
+
+
+def test_digests_clean_every_value_once(spark):
+    """The filter of rejects stays above the cleaning."""
+    source = spark.range(5).selectExpr("id AS Bill_ID", "concat('C', id) AS CUSTOMER_ID", "'x' AS BILL_DATE")
+    plan = digests.hashed(source, SALES, False)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("CollectMetrics"):]
+    assert "Filter" in plan[:plan.index("CollectMetrics")] and "Filter" not in below, plan

@@ -8,6 +8,7 @@ their scan and one row; where the key of the source is a number, later scans are
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,13 +31,22 @@ def place(spec: TableSpec) -> Column:
     return F.xxhash64(key) if spec.key_order == "text" else key.try_cast("long")
 
 
+def good_rows(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """Cleaned rows of the source without those to be rejected.
+
+    Rows are counted between cleaning and filter: Spark would push the filter below the cleaning, and clean every value
+    again for each place where the filter reads it.
+    """
+    cleaned = clean_table(source, spec).withColumn("_reason", quality.reject_reason(spec))
+    return cleaned.observe(f"cleaned-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows")).where("_reason IS NULL")
+
+
 def hashed(source: DataFrame, spec: TableSpec, odd: bool) -> DataFrame:
     """Key, checksum and arrival of the source's good rows.
 
     Without ``odd`` the checksum is null where Spark alone can't make it; with it only those rows go through Python.
     """
-    good = clean_table(source, spec).withColumn("_reason", quality.reject_reason(spec)).where("_reason IS NULL")
-    quick = with_checksum(good, spec, exact=False)
+    quick = with_checksum(good_rows(source, spec), spec, exact=False)
     columns = [spec.key.target, "checksum", "_seq"]
     if not odd:
         return quick.select(columns)

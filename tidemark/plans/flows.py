@@ -173,9 +173,10 @@ class TableSync:
         key = spec.key.target
         scan, identified, one = Observation(), Observation(), Observation()
         good_key = F.when(F.col("_reason").isNull(), F.col(key))
-        cleaned = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec))
         if within:
-            cleaned = within.rows(cleaned.where("_reason IS NULL"), spec)
+            cleaned = within.rows(digests.good_rows(rows, spec), spec)
+        else:
+            cleaned = clean_table(rows, spec).withColumn("_reason", quality.reject_reason(spec))
         cleaned = cleaned.observe(
             scan,
             F.count(F.lit(1)).alias("scanned"),
