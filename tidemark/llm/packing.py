@@ -12,9 +12,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import documents
@@ -27,6 +29,27 @@ PART = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 
 
+def cut_words(texts: list[str] | pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Texts cut at blanks, line breaks and tabs: the place of each word among the distinct ones, those, and at which
+    words the texts begin and end. Words never become Python objects but once per batch."""
+    held = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+    offset = np.frombuffer(held.buffers()[1], np.int64)[held.offset:held.offset + len(held) + 1]
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8)[offset[0]:offset[-1]]
+    blank = (data == 32) | (data == 10) | (data == 9)
+    gone = np.flatnonzero(blank)
+    # A word ends at each blank and at the end of each text; what is left lies side by side.
+    stops = offset[1:] - offset[0]
+    after = np.searchsorted(gone, stops)
+    ends = np.append(0, after + np.arange(1, len(held) + 1))
+    bounds = np.insert(gone - np.arange(len(gone)), after, stops - after)
+    words = pa.LargeStringArray.from_buffers(
+        len(bounds), pa.py_buffer(np.append(0, bounds)), pa.py_buffer(data[~blank])
+    ).dictionary_encode()
+    # One long text, cut by Python, is made faster than one object per value of the column.
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words.dictionary)], words.dictionary.cast(pa.string())), " ")
+    return words.indices.to_numpy(), joined[0].as_py().split(" ") if len(words) else [], ends
+
+
 class WordEncoder:
     """Ids of whole texts, looked up by space-separated words.
 
@@ -46,35 +69,54 @@ class WordEncoder:
             "normalizer": None, "added_tokens": [],
             "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
         }))
-        self.special = [t["content"] for t in form["added_tokens"]]
+        special = [t["content"] for t in form["added_tokens"]]
+        self.held = re.compile("|".join(map(re.escape, special))).search if special else lambda w: None
         self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         probe = "I'll SAY 'tis 12.50% -- don't\nwe've É(ü)à?!\tx's 'RE a_b @#1a"
         self.by_word = self.plain([probe])[0].tolist() == self.tokenizer.encode(probe, add_special_tokens=False).ids
 
-    def plain(self, texts: list[str]) -> list[np.ndarray]:
+    def plain(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        words, known = self.words, self.known
-        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        found = [list(map(words.get, some)) for some in cut]
-        fresh = {w for some, got in zip(cut, found, strict=True) if None in got for w, g in zip(some, got, strict=True) if g is None}
-        whole = [w for w in fresh if not PLAIN.fullmatch(w) or any(t in w for t in self.special)]
-        split = {w: PART.findall(w.lower()) for w in fresh.difference(whole)}
-        missing = list({p for some in split.values() for p in some if p not in known})
+        place, distinct, ends = cut_words(texts)
+        found = list(map(self.words.get, distinct))
+        fresh = [w for w, got in zip(distinct, found, strict=True) if got is None]
+        if fresh:
+            self.learn(fresh)
+            found = list(map(self.words.__getitem__, distinct))
+            for w in fresh:
+                if len(w) > CACHE_CHARS:
+                    del self.words[w]
+        # The ids of all distinct words one after the other, and from them those of all texts.
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int32, len(found)) >> 2
+        first = np.cumsum(size, dtype=np.int32) - size
+        out = []
+        for a, b in zip(ends.tolist(), ends[1:].tolist()):
+            some = place[a:b]
+            sizes = size[some]
+            done = np.cumsum(sizes, dtype=np.int32)
+            at = np.repeat(first[some] - done + sizes, sizes)
+            at += np.arange(len(at), dtype=np.int32)
+            out.append(flat[at])
+        return out
+
+    def learn(self, fresh: list[str]) -> None:
+        """Ids of new words, for a while those of long ones as well."""
+        known, words = self.known, self.words
+        whole = [w for w in fresh if not PLAIN.fullmatch(w) or self.held(w)]
+        other = fresh if not whole else list(set(fresh).difference(whole))
+        split = list(map(PART.findall, map(str.lower, other)))
+        missing = list(set(chain.from_iterable(split)).difference(known))
         known.update(self.ids(self.parts, missing))
-        words.update((w, b"".join(map(known.__getitem__, some))) for w, some in split.items())
+        words.update(zip(other, [b"".join(map(known.__getitem__, some)) for some in split], strict=True))
         words.update(self.ids(self.tokenizer, whole))
-        joined = [
-            b"".join(map(words.__getitem__, some) if None in got else got) for some, got in zip(cut, found, strict=True)
-        ]
-        for cache, new in ((words, fresh), (known, missing)):
-            for w in new:
-                if len(w) > CACHE_CHARS:
-                    del cache[w]
-        return [np.frombuffer(x, "<u4") for x in joined]
+        for p in missing:
+            if len(p) > CACHE_CHARS:
+                del known[p]
 
     @staticmethod
     def ids(tokenizer, texts: list[str]) -> Iterator[tuple[str, bytes]]:
@@ -84,9 +126,10 @@ class WordEncoder:
             found = tokenizer.encode_batch_fast(some, add_special_tokens=False)
             yield from zip(some, (struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found), strict=True)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         if self.by_word:
             return self.plain(texts)
+        texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
@@ -123,7 +166,7 @@ def pack(
         encode = encoder(tokenizer_file).encode
         for batch in batches:
             row, start, length, crc, total, ids = [], [], [], [], [], []
-            for k, found in enumerate(encode(batch.column("text").to_pylist())):
+            for k, found in enumerate(encode(batch.column("text"))):
                 full = np.append(found, np.uint32(end_id))
                 at = 0
                 for n in binary_lengths(len(full), longest):
