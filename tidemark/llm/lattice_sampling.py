@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -54,6 +55,39 @@ def stream(seed: int, draw: int, use: int) -> np.uint64:
 ROOT, CHOICE, OTHERS, PLACES, WALK = range(5)  # uses of random numbers
 
 
+def marked(texts: pa.Array) -> pa.Array:
+    """Texts with a blank before them, empty ones without, and with the word mark as a blank."""
+    plain = pc.replace_substring(texts.cast(pa.large_string()), MARK, " ")
+    blank, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+    return pc.if_else(pc.equal(pc.binary_length(plain), 0), plain, pc.binary_join_element_wise(blank, plain, none))
+
+
+def held(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of a large text or binary column begin and end in its bytes, and those."""
+    offset = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offset[0]:offset[-1]]
+    return offset - offset[0], data
+
+
+def slots(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where the search for each key begins in a table of ``size``, a power of two."""
+    return (keys.view(np.uint64) * np.uint64(GOLDEN) >> np.uint64(65 - size.bit_length())).view(np.int64)
+
+
+def hash_table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and values in a table four times as wide or more; a key lies in its slot or after the full ones that follow."""
+    size = 4 << len(keys).bit_length()
+    held, out = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    at, left = slots(keys, size), np.arange(len(keys))
+    while len(left):
+        free = left[held[at[left]] < 0]
+        held[at[free]] = keys[free]  # of several keys for one slot the last one stays
+        out[at[free]] = values[free]
+        left = left[held[at[left]] != keys[left]]
+        at[left] = (at[left] + 1) % size
+    return held, out
+
+
 class Pieces:
     """The pieces of one model file."""
 
@@ -73,7 +107,7 @@ class Pieces:
             for k in range(1, len(self.text[i]) + 1):
                 prefixes.setdefault(self.text[i][:k], len(prefixes))
         steps = sorted((prefixes[x[:-1]] << 21 | ord(x[-1]), n) for x, n in prefixes.items() if x)
-        self.steps, self.leads = (np.array(x, np.int64) for x in zip(*steps, strict=True))
+        self.steps, self.leads = hash_table(*(np.array(x, np.int64) for x in zip(*steps, strict=True)))
         self.ends = np.full(len(prefixes), -1, np.int64)
         self.weights = np.zeros(len(prefixes))
         for k, i in enumerate(usual):
@@ -81,12 +115,49 @@ class Pieces:
             self.weights[prefixes[self.text[i]]] = -sharpness * math.log(offset + k)
         self.plain = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else t for i, t in enumerate(self.text)]
         self.high = {i for i, b in self.byte_of.items() if b >= 128}
-        self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if not any("\n" in self.text[i] for i in usual) else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.lines = not any("\n" in self.text[i] for i in usual)  # then a line break is a part of its own
+        self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if self.lines else f"{MARK}*[^{MARK}]+|{MARK}+")
+        spelled = [bytes([self.byte_of[i]]) if i in self.byte_of else t.replace(MARK, " ").encode() for i, t in enumerate(self.text)]
+        self.spelled = pa.array(spelled, pa.large_binary())
 
     def split(self, text: str) -> list[str]:
         """Parts of the text that no piece crosses."""
         return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
 
+    def split_all(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """The same for texts as ``marked`` gives them: the place of each part among the distinct ones, those, and at
+        which parts the texts begin and end. A part becomes a Python object but once per batch."""
+        offset, data = held(texts)
+        first = np.zeros(len(data) + 1, bool)
+        blank = data == 32
+        first[1:-1] = blank[1:] & ~blank[:-1]
+        if self.lines:
+            line = data == 10
+            first[:-1] |= line
+            first[1:] |= line
+        first[offset] = True
+        bounds = np.flatnonzero(first)
+        ends = np.searchsorted(bounds, offset)
+        parts = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]
+        ).dictionary_encode()
+        # One long text, cut by Python at a byte that UTF-8 has not got, is made faster than one object per value.
+        whole = pa.ListArray.from_arrays([0, len(parts.dictionary)], parts.dictionary.cast(pa.binary()))
+        text = pc.binary_join(whole, pa.scalar(b"\xff", pa.binary()))[0].as_py().decode("utf-8", "surrogateescape")
+        return parts.indices.to_numpy(), text.replace(" ", MARK).split("\udcff") if len(parts) else [], ends
+
+    def given_back(self, ids: list[np.ndarray], texts: pa.Array, of: list[int]) -> list[bool]:
+        """Whether ids, the k-th of them for the text ``of[k]`` as ``marked`` gives it, decode to their text."""
+        offset, data = held(texts)
+        flat = np.concatenate([np.zeros(0, np.int64), *ids])
+        stops, spelled = held(self.spelled.take(pa.array(flat)))
+        stops = stops[np.cumsum([0, *map(len, ids)])].tolist()
+        out = []
+        for k, (a, b) in enumerate(zip(stops, stops[1:])):
+            wanted = data[offset[of[k]]:offset[of[k] + 1]].tobytes()
+            out.append(spelled[a:b].tobytes() == wanted or self.decode(ids[k].tolist()) == wanted[1:].decode())
+        return out
+
     def edges(self, code: np.ndarray) -> tuple[np.ndarray, ...]:
         """start, end, piece, weight of all pieces inside the characters; parts are closed by the code END."""
         alone = code != END  # characters without a piece of their own are written in bytes
@@ -94,7 +165,11 @@ class Pieces:
         end, state, found = start, np.zeros(len(start), np.int64), []
         while len(start):
             step = state << 21 | code[end]
-            place = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            place, open_ = slots(step, len(self.steps)), np.arange(len(step))
+            while len(open_):
+                held = self.steps[place[open_]]
+                open_ = open_[(held >= 0) & (held != step[open_])]
+                place[open_] = (place[open_] + 1) % len(self.steps)
             hit = self.steps[place] == step
             start, end, state = start[hit], end[hit] + 1, self.leads[place[hit]]
             whole = self.ends[state] >= 0
@@ -102,10 +177,19 @@ class Pieces:
             if len(found) == 1:
                 alone[start[whole]] = False
         odd = np.flatnonzero(alone)
-        found.append((odd, odd + 1, -1 - code[odd], np.full(len(odd), BYTE_WEIGHT)))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)]
-        order = np.lexsort((columns[1], columns[0]))
-        return tuple(c[order] for c in columns)
+        found.insert(0, (odd, odd + 1, -1 - code[odd], np.full(len(odd), BYTE_WEIGHT)))
+        # The edges of a character lie side by side, shorter ones first, as the rounds found them.
+        n_edges = np.zeros(len(code), np.int64)
+        for first, *_ in found:
+            n_edges[first] += 1
+        free = np.cumsum(n_edges) - n_edges
+        columns = [np.empty(int(n_edges.sum()), x.dtype) for x in found[0]]
+        for some in found:
+            at = free[some[0]]
+            free[some[0]] += 1
+            for column, x in zip(columns, some, strict=True):
+                column[at] = x
+        return tuple(columns)
 
     def decode(self, ids: list[int]) -> str:
         if self.high.isdisjoint(ids):
@@ -150,13 +234,14 @@ class Lattice:
         code[close] = END
         start, end, piece, weight = self.pieces.edges(code)
         n = len(code)
-        begin = np.searchsorted(start, np.arange(n + 1))
+        begin = np.append(0, np.cumsum(np.bincount(start, minlength=n)))
         # Log mass of all ways from a node to the end of its part, for nodes at growing distance from that end.
         after = np.zeros(n)
         left = np.repeat(close, np.diff(close, prepend=-1)) - np.arange(n)
         far = left[start]
-        order = np.argsort(far, kind="stable")
-        bounds = np.searchsorted(far[order], np.arange(1, int(far.max()) + 2))
+        most = int(far.max())
+        order = np.argsort(far.astype(np.uint16) if most < 1 << 16 else far, kind="stable")
+        bounds = np.cumsum(np.bincount(far, minlength=most + 1))
         for k in range(len(bounds) - 1):
             some = order[bounds[k]:bounds[k + 1]]
             value = weight[some] + after[end[some]]
@@ -334,6 +419,16 @@ class Sampler:
         lattice.add(list(set(chain.from_iterable(cut)).difference(lattice.first)))
         return cut
 
+    def starts(self, texts: pa.Array) -> list[np.ndarray]:
+        """The nodes at which the parts of each text, as ``marked`` gives it, begin."""
+        place, distinct, ends = self.pieces.split_all(texts)
+        lattice = self.lattice
+        if lattice.nodes > CACHE_NODES:
+            lattice.clear()
+        lattice.add([p for p in distinct if p not in lattice.first])
+        flat = np.fromiter(map(lattice.first.__getitem__, distinct), np.int64, len(distinct))[place]
+        return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+
     def ids(self, several: list[np.ndarray]) -> list[np.ndarray]:
         """Ids of each of the ways, with the bytes of characters that have no piece."""
         found = self.lattice.piece[np.concatenate([np.zeros(0, np.int64), *several])]
@@ -355,7 +450,11 @@ class Sampler:
         probability)."""
         flat = np.fromiter(map(self.lattice.first.__getitem__, chain.from_iterable(texts)), np.int64)
         ends = np.cumsum([0, *map(len, texts)]).tolist()
-        searches = top_k(self.lattice, [flat[a:b] for a, b in zip(ends, ends[1:])], k, seeds)
+        return self.sample_from([flat[a:b] for a, b in zip(ends, ends[1:])], k, seeds)
+
+    def sample_from(self, starts: list[np.ndarray], k: int, seeds: list[int]) -> list[list[tuple[np.ndarray, float, float, float]]]:
+        """The same for texts given by the nodes at which their parts begin."""
+        searches = top_k(self.lattice, starts, k, seeds)
         ids = iter(self.ids([x.edges for s in searches for x in s.leaves]))
         return [
             [(next(ids), float(x.before[-1]), x.value, log_inclusion(float(x.before[-1]), s.threshold)) for x in s.leaves]
@@ -408,17 +507,18 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_model = sampler(model_file, sharpness, offset)
         for batch in batches:
-            texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            texts, keys = marked(batch.column("text")), batch.column("doc_id").to_pylist()
             row, out = [], {n: [] for n in names}
-            found = with_model.sample_all(with_model.prepare(texts), k, [row_seed(seed, key) for key in keys])
-            for at, (samples, text) in enumerate(zip(found, texts, strict=True)):
-                wanted = text.replace(MARK, " ")
+            found = with_model.sample_from(with_model.starts(texts), k, [row_seed(seed, key) for key in keys])
+            for at, samples in enumerate(found):
                 for place, (ids, *numbers) in enumerate(samples, 1):
                     row.append(at)
                     plain = ids.astype("<u4")
                     values = [place, *[plain.astype(np.int32)] * with_ids, len(ids), zlib.crc32(plain.tobytes()), *numbers]
-                    for n, v in zip(names, [*values, with_model.pieces.decode(ids.tolist()) == wanted], strict=True):
+                    for n, v in zip(names[:-1], values, strict=True):
                         out[n].append(v)
+            several = [ids for samples in found for ids, *_ in samples]
+            out["round_trip"] = with_model.pieces.given_back(several, texts, row)
             columns = [lists(out[n]) if n == "ids" else pa.array(out[n], arrow.get(n, pa.float64())) for n in names]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), *columns], ["doc_id", *names])
 
