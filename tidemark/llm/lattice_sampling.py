@@ -37,9 +37,12 @@ FIRST, SECOND = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit counters as random bits."""
-    x = (x ^ x >> np.uint64(30)) * np.uint64(FIRST)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(SECOND)
-    return x ^ x >> np.uint64(31)
+    x = x ^ x >> np.uint64(30)
+    x *= np.uint64(FIRST)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(SECOND)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def units(keys: np.ndarray, n: int | np.ndarray) -> np.ndarray:
@@ -108,6 +111,10 @@ class Pieces:
                 prefixes.setdefault(self.text[i][:k], len(prefixes))
         steps = sorted((prefixes[x[:-1]] << 21 | ord(x[-1]), n) for x, n in prefixes.items() if x)
         self.steps, self.leads = hash_table(*(np.array(x, np.int64) for x in zip(*steps, strict=True)))
+        self.roots = np.zeros(END + 1, np.int32)
+        for x, n in prefixes.items():
+            if len(x) == 1:
+                self.roots[ord(x)] = n
         self.ends = np.full(len(prefixes), -1, np.int64)
         self.weights = np.zeros(len(prefixes))
         for k, i in enumerate(usual):
@@ -164,6 +171,14 @@ class Pieces:
         start = np.flatnonzero(alone)
         end, state, found = start, np.zeros(len(start), np.int64), []
         while len(start):
+            if not found:  # from the root: by the character alone
+                state = self.roots[code[end]].astype(np.int64)
+                hit = state > 0
+                start, end, state = start[hit], end[hit] + 1, state[hit]
+                whole = self.ends[state] >= 0
+                found.append((start[whole], end[whole], self.ends[state[whole]], self.weights[state[whole]]))
+                alone[start[whole]] = False
+                continue
             step = state << 21 | code[end]
             place, open_ = slots(step, len(self.steps)), np.arange(len(step))
             while len(open_):
@@ -174,8 +189,6 @@ class Pieces:
             start, end, state = start[hit], end[hit] + 1, self.leads[place[hit]]
             whole = self.ends[state] >= 0
             found.append((start[whole], end[whole], self.ends[state[whole]], self.weights[state[whole]]))
-            if len(found) == 1:
-                alone[start[whole]] = False
         odd = np.flatnonzero(alone)
         found.insert(0, (odd, odd + 1, -1 - code[odd], np.full(len(odd), BYTE_WEIGHT)))
         # The edges of a character lie side by side, shorter ones first, as the rounds found them.
@@ -225,12 +238,14 @@ class Lattice:
         self.upto, self.logp, self.others = np.empty(0), np.empty(0), np.empty(0)
         self.target, self.piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
-    def add(self, parts: list[str]) -> None:
+    def add(self, parts: list[str]) -> np.ndarray:
+        """Takes in new parts; the first node of each."""
         if not parts:
-            return
+            return np.zeros(0, np.int64)
         ends = "\n".join(parts) + "\n"  # any character holds the place of END
         code = np.frombuffer(ends.encode("utf-32-le"), np.uint32).astype(np.int64)
-        close = np.cumsum([len(p) + 1 for p in parts]) - 1
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        close = np.cumsum(sizes + 1) - 1
         code[close] = END
         start, end, piece, weight = self.pieces.edges(code)
         n = len(code)
@@ -247,8 +262,8 @@ class Lattice:
             value = weight[some] + after[end[some]]
             heads = np.flatnonzero(np.diff(start[some], prepend=-1))
             top = np.maximum.reduceat(value, heads)
-            sizes = np.diff(heads, append=len(some))
-            after[start[some[heads]]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, sizes)), heads))
+            widths = np.diff(heads, append=len(some))
+            after[start[some[heads]]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, widths)), heads))
         logp = weight + after[end] - after[start]
         logp[np.diff(begin)[start] == 1] = 0.0
         share = np.exp(logp)
@@ -262,9 +277,11 @@ class Lattice:
         self.upto, self.logp = put(self.upto, self.edges, upto), put(self.logp, self.edges, logp)
         self.others = put(self.others, self.edges, others)
         self.target, self.piece = put(self.target, self.edges, end + self.nodes), put(self.piece, self.edges, piece)
-        self.first.update(zip(parts, (self.nodes + close - np.array([len(p) for p in parts])).tolist(), strict=True))
+        nodes = self.nodes + close - sizes
+        self.first.update(zip(parts, nodes.tolist(), strict=True))
         self.nodes += n
         self.edges += len(logp)
+        return nodes
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One way from every node to the end of its part, by the stream of its key: the edges of all nodes one after the
@@ -297,10 +314,10 @@ class Lattice:
 
 
 class Leaf:
-    """A segmentation: its edges, the part of each, the log-probability before each, and its perturbed value."""
+    """A segmentation: its edges, how many each part has, the log-probability before each, and its perturbed value."""
 
-    def __init__(self, edges: np.ndarray, parts: np.ndarray, logp: np.ndarray, value: float) -> None:
-        self.edges, self.parts, self.value = edges, parts, value
+    def __init__(self, edges: np.ndarray, lengths: np.ndarray, logp: np.ndarray, value: float) -> None:
+        self.edges, self.lengths, self.value = edges, lengths, value
         self.before = np.concatenate([[0.0], np.cumsum(logp)])
 
 
@@ -341,8 +358,10 @@ class Search:
             self.part, nodes = 0, starts
         else:
             # One more edge at this place, among those not taken, then any way on to the end of the text.
-            part = self.part = int(leaf.parts[place])
-            at = int(starts[part]) if place == 0 or leaf.parts[place - 1] != part else int(lattice.target[leaf.edges[place - 1]])
+            ends = np.cumsum(leaf.lengths)
+            part = self.part = int(np.searchsorted(ends, place, side="right"))
+            self.within = place - int(ends[part] - leaf.lengths[part])  # edges of the part before the place
+            at = int(lattice.target[leaf.edges[place - 1]]) if self.within else int(starts[part])
             self.choice = [e for e in lattice.edges_of(at) if e not in taken]
             share = np.exp(lattice.logp[self.choice])
             drawn = self.unit(draw, CHOICE) * share.sum()
@@ -353,13 +372,12 @@ class Search:
     def take(self, edges: np.ndarray, length: np.ndarray) -> None:
         """The ways that were walked: the next leaf, and what it leaves open."""
         lattice, value, leaf, place, draw = self.lattice, self.value, self.leaf, self.place, len(self.leaves)
-        parts = np.repeat(np.arange(self.part, self.part + len(length)), length)
         changed, rest = 0, []
         if leaf is not None:
             edges = np.concatenate([leaf.edges[:place], [self.edge], edges])
-            parts = np.concatenate([leaf.parts[:place + 1], parts])
+            length = np.concatenate([leaf.lengths[:self.part], length[:1] + self.within + 1, length[1:]])
             changed = place + 1
-        new = Leaf(edges, parts, lattice.logp[edges], value)
+        new = Leaf(edges, length, lattice.logp[edges], value)
         self.leaves.append(new)
         if leaf is not None:
             others = [e for e in self.choice if e != self.edge]
@@ -425,8 +443,11 @@ class Sampler:
         lattice = self.lattice
         if lattice.nodes > CACHE_NODES:
             lattice.clear()
-        lattice.add([p for p in distinct if p not in lattice.first])
-        flat = np.fromiter(map(lattice.first.__getitem__, distinct), np.int64, len(distinct))[place]
+        found = list(map(lattice.first.get, distinct))
+        new = [k for k, node in enumerate(found) if node is None]
+        flat = np.array(found, np.float64)  # nodes are whole numbers far below 2^53, and None becomes nan
+        flat[new] = lattice.add([distinct[k] for k in new])
+        flat = flat.astype(np.int64)[place]
         return [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
     def ids(self, several: list[np.ndarray]) -> list[np.ndarray]:
