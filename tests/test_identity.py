@@ -72,3 +72,17 @@ def test_row_id_equals_uuid5(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string")
     for r in df.select("k", row_id("BILL_MASTER", F.col("k")).alias("id")).collect():
         assert r.id == str(uuid.uuid5(uuid.NAMESPACE_DNS, f"BILL_MASTER:{r.k}"))
+
+
+def test_rows_without_escapes_skip_the_json_writer_and_equal_it(spark):
+    texts = ["plain", 'quo"te', "back\\slash", "tab\there", "line\nend", "bell\x07", "sla/sh", "{a:1}", "", None, "\x1f", "\x7f", "é"]
+    rows = spark.createDataFrame([(i, t, 1.5 * i) for i, t in enumerate(texts)], "i int, t string, n double")
+    columns = [("t", "text"), ("n", "amount"), ("i", "flag")]
+    for exact in (True, False):
+        out = with_canonical(rows, columns, exact=exact)
+        for r in out.collect():
+            text = r.t.strip().upper() or None if r.t else None
+            want = json.dumps({"i": str(r.i), "n": f"{r.n:.4f}", "t": text}, sort_keys=True, separators=(",", ":"))
+            assert r.canonical == want or (not exact and r.canonical is None), r
+    plan = with_canonical(rows.where("t = 'plain'"), columns, exact=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat({" in plan.lower()
