@@ -63,11 +63,11 @@ def digests(rows: DataFrame, spec: TableSpec, bits: int) -> DataFrame:
 
 
 def unlike(a: DataFrame, b: DataFrame) -> DataFrame:
-    """p of the ranges whose digests differ."""
+    """p of the ranges whose digests differ, and n, their rows on the first side."""
     a, b = a.alias("a"), b.alias("b")
     differs = ~(F.col("a.n").eqNullSafe(F.col("b.n")) & F.col("a.s").eqNullSafe(F.col("b.s")))
     joined = a.join(b, F.col("a.p").eqNullSafe(F.col("b.p")), "full").where(differs)
-    return joined.select(F.coalesce("a.p", "b.p").alias("p"))
+    return joined.select(F.coalesce("a.p", "b.p").alias("p"), F.coalesce("a.n", F.lit(0)).alias("n"))
 
 
 def intervals(ranges: list[int], bits: int, most: int = BOUNDS) -> list[tuple[int, int]]:
@@ -86,7 +86,8 @@ def intervals(ranges: list[int], bits: int, most: int = BOUNDS) -> list[tuple[in
 
 @dataclass(frozen=True)
 class Open:
-    """Fine ranges that differ: a written table of p, cut by ``bits``, and the intervals they lie in."""
+    """Ranges that differ: a written table of p, cut by ``bits``, and the intervals they lie in. As it is written Spark
+    knows its size, and takes it to the rows where it is small."""
 
     ranges: DataFrame
     bits: int
@@ -113,7 +114,8 @@ def open_ranges(source: DataFrame, target: DataFrame, spec: TableSpec, most: int
     """Where source and target differ; None where they are equal.
 
     The first cut has at most ``most`` ranges between the least and the highest key of both sides; a text key is cut by
-    its hash. Keys that occur several times in the source make their ranges differ, and are told apart row by row.
+    its hash. Where those that differ hold more than half of the source's rows they are not cut again: that would clean
+    and hash nearly all of it once more, to spare a merge few of its rows. Keys that occur several times in the source make their ranges differ, and are told apart row by row.
     """
     key, spark = spec.key.target, source.sparkSession
     stored = target.select(key, "checksum")
@@ -133,20 +135,20 @@ def open_ranges(source: DataFrame, target: DataFrame, spec: TableSpec, most: int
 
     theirs = written(digests(stored, spec, bits), "target-digests")
     own = written(digests(ours, spec, bits), "source-digests")
-    odd = bool(own.agg(F.sum("odd")).first()[0])
+    odd, rows = own.agg(F.coalesce(F.sum("odd"), F.lit(0)) > 0, F.coalesce(F.sum("n"), F.lit(0))).first()
     if odd:
         own = digests(hashed(source, spec, True), spec, bits)
-    first = [r.p for r in unlike(own, theirs).collect()]
-    if not first:
+    found = unlike(own, theirs).collect()
+    if not found:
         return None
-    coarse = Open(
-        spark.createDataFrame([(p,) for p in first], "p long"), bits, intervals([p for p in first if p is not None], bits), odd
-    )
-    if not bits:
+    first = [r.p for r in found]
+    listed = spark.createDataFrame([(p,) for p in first], "p long").coalesce(1)
+    coarse = Open(written(listed, "coarse-ranges"), bits, intervals([p for p in first if p is not None], bits), odd)
+    if not bits or 2 * sum(r.n for r in found) > rows:
         return coarse
     finer = max(0, bits - FINER)
     narrow = coarse.rows(hashed(coarse.source(source, spec), spec, odd), spec)
-    ranges = unlike(digests(narrow, spec, finer), digests(coarse.rows(stored, spec), spec, finer))
+    ranges = unlike(digests(narrow, spec, finer), digests(coarse.rows(stored, spec), spec, finer)).select("p")
     return Open(written(ranges, "open-ranges"), finer, coarse.bounds, odd)
 
 

@@ -116,6 +116,12 @@ def upsert_fingerprints(
     ).to(FINGERPRINT_SCHEMA)
 
 
+def first_fingerprints(seen: DataFrame, table: str, run_ts: datetime) -> DataFrame:
+    """Fingerprints of (entity_id, checksum), one row per key, where there are none yet."""
+    times = [clock(run_ts).alias(c) for c in ("first_seen_at", "last_seen_at", "last_changed_at")]
+    return seen.select(F.lit(table).alias("table_name"), "entity_id", "checksum", *times).to(FINGERPRINT_SCHEMA)
+
+
 def fingerprint_delta(rows: DataFrame, fingerprints: DataFrame, table: str, key: str) -> DataFrame:
     """Rows that were not already seen with this checksum."""
     seen = fingerprints.where(F.col("table_name") == table).select(

@@ -162,7 +162,8 @@ class TableSync:
 
         1. one narrow pass writes the cleaned rows with checksums to shared storage and counts them;
         2. rejects, if that pass saw any, go to the dead-letter table;
-        3. the last row of each key is dealt once, as the buckets of the target are; nothing moves after that;
+        3. the last row of each key is dealt once, as the buckets of the target are; nothing moves after that. Where there is
+           no target yet, they are its first base, and the fingerprints are read from it;
         4. these rows are compared with key and checksum of the target, and what is new or changed becomes the target's
            next delta, or is joined with it into its next base;
         5. then the fingerprints of all seen keys are written, so that a fingerprint never
@@ -204,13 +205,18 @@ class TableSync:
                 keys = F.col(key).between(seen["low"], seen["high"])
                 last = merge.dedupe_last(staged, key, ["_seq", "checksum"]).drop("_seq")
                 last = last.observe(one, F.count(F.lit(1)).alias("rows"))
-                last = self.store.stage_beside(spec.target_table, last, f"{path}/last", key)
-                last = last.withColumn("checksum", F.lower(F.hex("checksum")))
-                keys_seen = one.get["rows"]
                 # Fingerprints as they were before this batch.
                 known = self.store.parts(self.fingerprint_table(spec), FINGERPRINT_SCHEMA, "entity_id")
-                self._merge(spec, last, keys_seen, keys, batch, f"{path}/changed")
-                self._remember(spec, last, keys_seen, known)
+                if self.skip_known or self.store.exists(spec.target_table):
+                    last = self.store.stage_beside(spec.target_table, last, f"{path}/last", key)
+                    last = last.withColumn("checksum", F.lower(F.hex("checksum")))
+                    self._merge(spec, last, one.get["rows"], keys, batch, f"{path}/changed")
+                else:
+                    last = with_ids(last.withColumn("checksum", F.lower(F.hex("checksum"))), spec, self.source_system)
+                    self._create(spec, last)
+                    batch.inserted = one.get["rows"]
+                    last = self.target(spec)
+                self._remember(spec, last, one.get["rows"], known)
         finally:
             for name in ("last", "changed"):
                 self.store.unstage(f"{path}/{name}")
@@ -224,10 +230,7 @@ class TableSync:
         if self.skip_known:
             last = merge.fingerprint_delta(last, self.fingerprints(spec), spec.source_table, key)
         if not self.store.exists(table):
-            first = last.withColumn("old_created_at", F.lit(None).cast("timestamp"))
-            first = merge.stamp(first, spec, self.run_ts).select(spec.raw_schema.fieldNames())
-            first = first.observe(merged, F.count(F.lit(1)).alias("rows"))
-            self.store.replace(table, first, key)
+            self._create(spec, last.observe(merged, F.count(F.lit(1)).alias("rows")))
             batch.inserted = merged.get["rows"]
             batch.known = n - batch.inserted
             return
@@ -256,10 +259,19 @@ class TableSync:
             rows = merge.upsert_changed(self.target(spec), changed, spec, self.run_ts)
             self.store.replace(table, rows.select(spec.raw_schema.fieldNames()), key, in_place=True)
 
+    def _create(self, spec: TableSpec, last: DataFrame) -> None:
+        """The first base of a target."""
+        first = last.withColumn("old_created_at", F.lit(None).cast("timestamp"))
+        first = merge.stamp(first, spec, self.run_ts).select(spec.raw_schema.fieldNames())
+        self.store.replace(spec.target_table, first, spec.key.target)
+
     def _remember(self, spec: TableSpec, last: DataFrame, n: int, known: tuple[DataFrame, DataFrame | None]) -> None:
         table = self.fingerprint_table(spec)
         latest = last.select(F.col(spec.key.target).alias("entity_id"), "checksum")
-        if self.store.takes(table, n):
+        if not self.store.exists(table):
+            # Nothing to join with, so the rows stay dealt as they are.
+            self.store.replace(table, merge.first_fingerprints(latest, spec.source_table, self.run_ts), "entity_id")
+        elif self.store.takes(table, n):
             base, newer = known
             newer = base.limit(0) if newer is None else newer
             rows = merge.upsert_fingerprints(base, latest, spec.source_table, self.run_ts, newer=newer)
