@@ -22,7 +22,9 @@ ESCAPED = r'["\\\x00-\x1f]'
 
 def fixed4(c: Column) -> Column:
     """A double with four decimals. Exact for values that ``needs_exact`` lets through."""
-    plain = c.try_cast("decimal(20,4)").cast("string")
+    n = F.floor(F.abs(c) * 10000 + 0.5)  # ten-thousandths
+    whole, rest = F.call_function("div", n, F.lit(10000)), F.substring((n % 10000 + 10000).cast("string"), 2, 4)
+    plain = F.concat(F.when(c < 0, "-").otherwise(""), whole.cast("string"), F.lit("."), rest)
     tiny = F.when(c.cast("string").startswith("-"), "-0.0000").otherwise("0.0000")
     return F.when(F.abs(c) < 0.00005, tiny).otherwise(plain)
 
@@ -85,7 +87,7 @@ def with_canonical(
 
     keep_nulls = {"ignoreNullFields": "false"}
     # Written out where no text needs an escape, which costs a fraction of what the JSON writer does.
-    texts = [native(n, k) for n, k in ordered if k not in (AMOUNT, FLAG)]
+    texts = [F.col(n) for n, k in ordered if k not in (AMOUNT, FLAG)]
     escaped = F.concat_ws("", *texts).rlike(ESCAPED) if texts else F.lit(False)
     values = [
         F.concat(F.lit(f"{',' if i else '{'}{json.dumps(n)}:"), F.coalesce(F.concat(F.lit('"'), native(n, k), F.lit('"')), F.lit("null")))

@@ -29,7 +29,9 @@ def parse_amount(
     text = clean_text(c, dtype)
     if thousands:
         text = F.replace(text, F.lit(thousands), F.lit(""))
-    return ascii_digits(F.regexp_extract(text, AMOUNT_PATTERN, 1)).try_cast("double")
+    # A text that is a plain number as a whole needs no pattern.
+    whole = F.when(F.translate(text, "0123456789.-+", "") == "", text.try_cast("double"))
+    return F.coalesce(whole, ascii_digits(F.regexp_extract(text, AMOUNT_PATTERN, 1)).try_cast("double"))
 
 
 def _literal_of_bytes(c: Column) -> Column:

@@ -87,5 +87,7 @@ def clean_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     text = strip(as_text(c, dtype))
     printable = F.regexp_replace(text, r"[^\x20-\x7E]", "")
     unwrapped = strip(F.regexp_replace(printable, r"""^b['"](.*)['"]$""", "$1"))
-    value = F.when(text.rlike(r"""^(b['"]|\\x)"""), unwrapped).otherwise(text)
-    return F.when(~value.rlike("(?i)^(" + "|".join(NULL_TOKENS) + ")$"), value)
+    # The first character spares nearly all texts the pattern; a stripped text has no line end, so tokens compare as wholes.
+    literal = (text.startswith("b") | text.startswith("\\")) & text.rlike(r"""^(b['"]|\\x)""")
+    value = F.when(literal, unwrapped).otherwise(text)
+    return F.when(~F.lower(value).isin(*NULL_TOKENS), value)
