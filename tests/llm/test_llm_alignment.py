@@ -1,10 +1,14 @@
 """Alignment of two tokenizers against a plain version over single bytes."""
 
 import hashlib
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings as how, strategies as st
@@ -114,3 +118,48 @@ def test_caches_stay_bounded(monkeypatch):
     texts = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(40)]
     assert [small.block([x])[1] for x in texts] == [tool.block([x])[1] for x in texts]
     assert len(small.texts) <= 50 + 20
+
+
+def test_caches_stay_bounded_within_a_block(monkeypatch):
+    small = t.Aligner(*FILES)
+    texts = ["", *[" ".join([f"w{k}x{j}" for j in range(20)] + ["common words"]) for k in range(40)]]
+    want = tool.block(texts)
+    monkeypatch.setattr(t, "CACHE_WORDS", 50)
+    monkeypatch.setattr(t, "PART_CHARS", 200, raising=False)
+    got = small.block(texts)
+    assert len(small.texts) <= 50 + 22
+    assert small.held == sum(len(w) + len(x) for w, x in zip(small.known, small.texts, strict=True))
+    assert {"common", "words"} <= set(small.known)
+    for x, y in zip(got, want, strict=True):
+        assert list(map(str, x)) == list(map(str, y))
+    # Long words are not kept, nor is what goes beyond the characters.
+    monkeypatch.setattr(t, "CACHE_CHARS", 5_000)
+    long = "many 123456789 " * 2 + "x" * 5_000
+    assert [small.block([x])[1] for x in [long, long, "many"]] == [tool.block([x])[1] for x in [long, long, "many"]]
+    assert "many" in small.known and "x" * 5_000 not in small.known and small.held <= 2_500
+
+
+GROWTH = """
+import sys
+from tidemark.llm.token_alignment import Aligner
+peak = lambda: int(next(x for x in open("/proc/self/status") if x.startswith("VmHWM")).split()[1]) / 1024
+tool = Aligner(*sys.argv[1:])
+tool.block(["ready"])
+before = peak()
+for k in range(2):
+    tool.block([" ".join(f"{(i * 7919 + k) % 1000003:07x}"[::-1] for i in range(j, j + 500)) for j in range(k * 400_000, k * 400_000 + 400_000, 500)])
+print(peak() - before)
+"""
+
+
+def test_memory_of_a_worker():
+    # Two of them and a full heap of 1.8 GB fit into an executor of 3 GB.
+    done = subprocess.run([sys.executable, "-c", GROWTH, *FILES], capture_output=True, text=True, check=True, cwd=Path(t.__file__).parents[2])
+    assert float(done.stdout) < 260
+
+
+@how(max_examples=50, deadline=None)
+@given(st.lists(st.integers(-(2**31), 2**31 - 1)))
+def test_numbers_are_packed(values):
+    kept = np.array(values, np.int32)
+    assert t.unpack(pa.py_buffer(t.pack(kept)), len(kept)).tolist() == values

@@ -5,7 +5,8 @@ share a character, or a byte-fallback token stands for a part of one, the decode
 Neither tokenizer merges across a single space between words, so a text is aligned word by word and words are remembered.
 
 Corpus-wide counts: a block of documents keeps its id pairs once, with the number of its documents that hold each; the
-sums over all blocks come back as one row per block and pair, never as a row per document and pair.
+sums over all blocks come back as one row per block and pair, never as a row per document and pair. What only Python
+reads of a block, its pairs by document, moves as compressed bytes: as arrays it would fill the executor's heap.
 """
 
 from __future__ import annotations
@@ -26,10 +27,13 @@ from tidemark.llm.common import documents, stage
 
 MARK = "▁"  # stands for a space inside pieces of SentencePiece
 CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE_WORDS = 700_000  # distinct words a worker remembers
-CACHE_CHARS = 60_000_000  # and characters of their groups
+CACHE_WORDS = 400_000  # distinct words a worker remembers, before those of the next part
+CACHE_CHARS = 30_000_000  # and characters of them and their groups
+LEARN_WORDS = 10_000  # words aligned at once
+PART_CHARS = 500_000  # characters of the documents whose words are looked up at once, unless one document alone has more
 BLOCK_CHARS = 4_000_000  # characters of the documents of a block, unless one document alone has more
 SHIFT = 20  # bits of a second id inside a pair
+COUNT_BITS = 32  # bits of a count behind the place of its pair
 SEPARATORS = (",", "|", ";", "")  # after an id: within a side, after the last of A, after a group, after the last group
 
 
@@ -94,26 +98,49 @@ class Aligner:
         for i, x in self.a_bytes.items():
             self.a_size[i] = len(x)
         self.known: dict[str, int] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.known.clear()
         self.texts: list[str | None] = []  # groups as text; None where the bytes differ
         self.held = 0
         self.sizes = np.zeros((0, 4), np.int32)  # tokens of either side, groups, links
         self.pairs = np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
+        self.used = np.zeros(0, np.int32)  # parts that had the word; 1 for those kept from before
+
+    def forget(self) -> None:
+        """Of the words that more than one part had, keep the most used ones, to half of what may be remembered."""
+        size = np.fromiter((len(w) + len(t or "") for w, t in zip(self.known, self.texts, strict=True)), np.int64, len(self.texts))
+        keep = np.flatnonzero((self.used > 1) & (size <= CACHE_CHARS // 1000))
+        keep = keep[np.argsort(-self.used[keep], kind="stable")][:CACHE_WORDS // 2]
+        keep = np.sort(keep[np.cumsum(size[keep]) <= CACHE_CHARS // 2])
+        words = list(self.known)
+        self.known = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.texts = [self.texts[k] for k in keep.tolist()]
+        self.held = int(size[keep].sum())
+        self.sizes = self.sizes[keep]
+        self.pairs = self.pairs[self.places(keep)[0]]
+        self.starts = np.append(0, np.cumsum(self.sizes[:, 3], dtype=np.int64))
+        self.used = np.ones(len(keep), np.int32)
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pairs of words are, word after word, and how many each has."""
+        n = self.starts[words + 1] - self.starts[words]
+        first = np.repeat(self.starts[words] - np.append(0, np.cumsum(n))[:-1], n)
+        return first + np.arange(len(first)), n
 
     def learn(self, words: list[str]) -> None:
-        """Align new words, all of them at once."""
-        for k in range(0, len(words), 20_000):
-            texts, sizes, pairs = self.align(words[k:k + 20_000])
-            self.known.update(zip(words[k:k + 20_000], range(len(self.texts), len(self.texts) + len(texts)), strict=True))
+        """Align new words, many at once."""
+        sizes, pairs = [self.sizes], [self.pairs]
+        for k in range(0, len(words), LEARN_WORDS):
+            some = words[k:k + LEARN_WORDS]
+            texts, size, pair = self.align(some)
+            self.known.update(zip(some, range(len(self.texts), len(self.texts) + len(texts)), strict=True))
             self.texts += texts
-            self.held += sum(len(t) for t in texts if t)
-            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
-            self.pairs = np.concatenate([self.pairs, pairs])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 3])])
+            self.held += sum(map(len, some)) + sum(len(t) for t in texts if t)
+            sizes.append(size.astype(np.int32))
+            pairs.append(pair)
+        if words:
+            self.sizes, self.pairs = np.concatenate(sizes), np.concatenate(pairs)
+            self.starts = np.append(0, np.cumsum(self.sizes[:, 3], dtype=np.int64))
+            self.used = np.append(self.used, np.zeros(len(words), np.int32))
 
     def align(self, words: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray]:
         """Per word its groups as text (None where bytes differ) and its sizes, and the pairs of all words one after another."""
@@ -171,6 +198,23 @@ class Aligner:
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of all texts: their sizes, digests and distinct pairs, then per document and pair the document, the place of the
         pair among those, and how often the document has it."""
+        found, begin = [], 0
+        while begin < len(texts):
+            end, size = begin + 1, len(texts[begin])
+            while end < len(texts) and size + len(texts[end]) <= PART_CHARS:
+                size += len(texts[end])
+                end += 1
+            sizes, digests, pair, doc, code, times = self.part(texts[begin:end])
+            found.append((sizes, digests, pair, (doc + begin).astype(np.int32), code.astype(np.int32), times.astype(np.int32)))
+            begin = end
+        sizes, digests, pairs, docs, codes, times = zip(*found, strict=True)
+        pair, place = np.unique(np.concatenate(pairs), return_inverse=True)
+        place = np.split(place.astype(np.int32), np.cumsum([len(p) for p in pairs])[:-1])
+        code = np.concatenate([at[c] for at, c in zip(place, codes, strict=True)])
+        return np.concatenate(sizes), [*chain.from_iterable(digests)], pair, np.concatenate(docs), code, np.concatenate(times)
+
+    def part(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As ``block``, of texts whose words are looked up at once."""
         if len(self.texts) > CACHE_WORDS or self.held > CACHE_CHARS:
             self.forget()
         cut = [(CUT.split(t) if self.by_word else [t]) if t else [] for t in texts]
@@ -192,14 +236,15 @@ class Aligner:
             empty = np.zeros(0, np.int64)
             return sizes, digests, empty, empty, empty, empty
         words, doc = np.concatenate(ids), np.concatenate(doc)
+        self.used[np.unique(words)] += 1
         # Each word of a document once, with its number; then the same with the pairs of its words.
         key, times = np.unique(doc * len(kept) + words, return_counts=True)
         doc, words = np.divmod(key, len(kept))
-        np.add.at(sizes, doc, self.sizes[words] * times[:, None])
-        n = self.starts[words + 1] - self.starts[words]
-        first = np.repeat(self.starts[words] - np.append(0, np.cumsum(n)[:-1]), n)
-        pair = self.pairs[first + np.arange(n.sum())]
-        pair, code = np.unique(pair, return_inverse=True)
+        spread = np.append(0, np.cumsum(np.bincount(doc, minlength=len(texts))))
+        for c in range(4):
+            sizes[:, c] = np.diff(np.append(0, np.cumsum(self.sizes[words, c] * times))[spread])
+        at, n = self.places(words)
+        pair, code = np.unique(self.pairs[at], return_inverse=True)
         key = np.repeat(doc, n) * len(pair) + code
         order = np.argsort(key)
         key, times = key[order], np.repeat(times, n)[order]
@@ -219,10 +264,15 @@ def aligner(byte_file: str, piece_file: str) -> Aligner:
     return _ALIGNERS[key]
 
 
-def ragged(values: np.ndarray, row: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
-    """Values of rows in ascending order as one list per row."""
-    ends = np.append(0, np.cumsum(np.bincount(row, minlength=n)))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+def pack(values: np.ndarray) -> bytes:
+    """Numbers of 32 bits as compressed bytes; the bytes of equal weight lie together."""
+    return pa.compress(np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T).data, codec="zstd", asbytes=True)
+
+
+def unpack(data: pa.Buffer, n: int) -> np.ndarray:
+    """The ``n`` numbers that ``pack`` was given."""
+    plain = pa.decompress(data, decompressed_size=4 * n, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def by_block(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -256,7 +306,7 @@ def token_alignment(
     """
     rows = documents(docs, id_col, text_col)
     numbers = ["n_a", "n_b", "n_groups", "n_links"]
-    names = ["block", "docs", *numbers, "groups_sha256", "pairs", "holders", "codes", "times"]
+    names = ["block", "docs", *numbers, "groups_sha256", "pairs", "holders", "distinct", "codes", "times"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, task = aligner(byte_file, piece_file), TaskContext.get().partitionId()
@@ -265,41 +315,46 @@ def token_alignment(
             one = lambda values, kind=None: pa.ListArray.from_arrays(
                 pa.array([0, len(values)], pa.int32()), pa.array(values) if kind is None else pa.array(values, kind)
             )
-            nested = lambda v, kind: pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ragged(v, doc, len(ids), kind))
             yield pa.RecordBatch.from_arrays([
                 pa.array([(task << 32) + at], pa.int64()), one(ids), *[one(sizes[:, k], pa.int64()) for k in range(4)],
                 one(digests, pa.string()), one(pairs, pa.int64()), one(np.bincount(code, minlength=len(pairs)), pa.int64()),
-                nested(code, pa.int32()), nested(times, pa.int32()),
+                one(np.bincount(doc, minlength=len(texts)), pa.int64()), pa.array([pack(np.diff(code, prepend=0))], pa.binary()), pa.array([pack(times)], pa.binary()),
             ], names)
 
     kind = rows.schema["doc_id"].dataType
-    many, whole = T.ArrayType(T.LongType()), T.ArrayType(T.ArrayType(T.IntegerType()))
-    kinds = [T.LongType(), T.ArrayType(kind), *[many] * 4, T.ArrayType(T.StringType()), many, many, whole, whole]
+    many, data = T.ArrayType(T.LongType()), T.BinaryType()
+    kinds = [T.LongType(), T.ArrayType(kind), *[many] * 4, T.ArrayType(T.StringType()), many, many, many, data, data]
     blocks = stage(rows.mapInArrow(encode, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])), "aligned")
 
-    held = blocks.select("block", F.explode(F.arrays_zip("pairs", "holders")).alias("p")).select("block", F.col("p.pairs").alias("pair"), F.col("p.holders").alias("n"))
-    counts = held.groupBy("pair").agg(F.sum("n").alias("count"))
+    held = blocks.select("block", "holders", F.posexplode("pairs").alias("at", "pair"))
+    counts = held.select("pair", F.get("holders", F.col("at")).alias("n")).groupBy("pair").agg(F.sum("n").alias("count"))
     # An A id has at most as many pairs as B has ids.
     best = F.max("count").over(Window.partitionBy(F.shiftright("pair", SHIFT)))
     counts = stage(counts.withColumn("best", F.col("count") == best), "counts")
-    back = held.select("block", "pair").join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("pair", "count", "best")).alias("counted"))
+    # Place and count as one number, its bits turned over where the count is the highest: numbers are gathered in less memory than rows.
+    fits = F.when(F.col("count") < 1 << COUNT_BITS, F.col("count")).otherwise(F.raise_error(F.lit("an id pair is in too many rows")).cast("long"))
+    number = F.shiftleft(F.col("at").cast("long"), COUNT_BITS).bitwiseOR(fits)
+    number = F.when(F.col("best"), F.bitwise_not(number)).otherwise(number)
+    back = held.select("block", "at", "pair").join(counts, "pair").groupBy("block").agg(F.collect_list(number).alias("counted"))
     both = blocks.drop("pairs", "holders").join(back, "block", "left")
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
                 get = lambda c: batch.column(c)[k].values  # noqa: E731, B023
-                n = len(get("docs"))
-                add = np.zeros((n, 2), np.int64)
-                codes, times = get("codes"), get("times")
+                add = np.zeros((len(get("docs")), 2), np.int64)
                 if batch.column("counted")[k].is_valid:
-                    counted = get("counted")
-                    order = np.argsort(counted.field("pair").to_numpy())  # codes are places among the sorted pairs
-                    count = counted.field("count").to_numpy()[order]
-                    top = counted.field("best").to_numpy(zero_copy_only=False)[order]
-                    doc = np.repeat(np.arange(n), codes.value_lengths().to_numpy())
-                    code, often = codes.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
-                    np.add.at(add, doc, np.stack([often * top[code], often * count[code]], axis=1))
+                    counted = get("counted").to_numpy()
+                    top = counted < 0
+                    counted = np.where(top, ~counted, counted)
+                    at = counted >> COUNT_BITS
+                    value = np.zeros((len(at), 2), np.int64)
+                    value[at, 0], value[at, 1] = top, counted & (1 << COUNT_BITS) - 1
+                    ends = np.append(0, np.cumsum(get("distinct").to_numpy()))
+                    steps, often = (unpack(batch.column(c)[k].as_buffer(), int(ends[-1])) for c in ("codes", "times"))
+                    code = np.cumsum(steps)
+                    for c in range(2):
+                        add[:, c] = np.diff(np.append(0, np.cumsum(value[code, c] * often))[ends])
                 yield pa.RecordBatch.from_arrays(
                     [get("docs"), *[get(c) for c in numbers], pa.array(add[:, 0]), pa.array(add[:, 1]), get("groups_sha256")], out
                 )
